@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Collection
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collarlake.functions import cleaning
+from collarlake.functions.cleaning import parse_reading_time
 from collarlake.operators.joins import ROWS_PER_JOIN_TASK, join_profiles
 from collarlake.operators.latest import latest_row
 
@@ -18,7 +20,7 @@ def clean(bronze: DataFrame) -> DataFrame:
     """Parse the time and put sensor values outside their ranges right. Narrow: no shuffle."""
     return bronze.withColumns(
         {
-            "parsed_reading_time": cleaning.parse_reading_time(F.col("reading_time")),
+            "parsed_reading_time": parse_reading_time(F.col("reading_time")),
             "heart_rate_bpm": cleaning.clean_heart_rate(F.col("heart_rate_bpm")),
             "battery_level_pct": cleaning.clean_battery(F.col("battery_level_pct")),
             "steps_count": cleaning.clean_steps(F.col("steps_count")),
@@ -48,13 +50,19 @@ def silver(
     )
 
 
-def between_days(bronze: DataFrame, first: date, last: date) -> DataFrame:
-    """Readings of the given days, both included.
+def readings_on(bronze: DataFrame, days: Collection[date]) -> DataFrame:
+    """Readings of the given days.
 
     The raw time is text in a fixed-width format, so a range of days is a range of
-    texts. Written this way the filter reaches the Parquet reader and skips row groups.
+    texts. Written this way the range reaches the Parquet reader and skips row groups.
     """
     text = F.col("reading_time")
-    return bronze.filter(
-        (text >= first.isoformat()) & (text < (last + timedelta(days=1)).isoformat())
-    )
+    first, after = min(days), max(days) + timedelta(days=1)
+    in_range = (text >= first.isoformat()) & (text < after.isoformat())
+    return bronze.filter(in_range & F.left(text, F.lit(10)).isin([d.isoformat() for d in days]))
+
+
+def days_touched(bronze: DataFrame, since: datetime) -> DataFrame:
+    """Days that readings ingested after ``since`` belong to: those to rebuild."""
+    day = parse_reading_time(F.col("reading_time")).cast("date").alias("reading_date")
+    return bronze.filter(F.col("ingested_at") > F.lit(since)).select(day).dropna().distinct()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,25 +18,39 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def overwrite_by_day(
-    df: DataFrame, path: str, day: str, *, only_days_present: bool = False
+    df: DataFrame,
+    path: str,
+    day: str,
+    *,
+    only_days_present: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Replace a table that has a folder per day. ``day`` is a SQL expression for it.
 
     With ``only_days_present`` days that ``df`` has no rows of are left as they are.
+
     The rebalance step gives each day as many files of even size as its rows need: a
-    day with very many rows is split, and tasks with little data are joined.
+    day with very many rows is split, and tasks with little data are joined. It is a
+    shuffle, so leave it out where ``df`` is a narrow plan over a table that already
+    has a folder per day: its tasks then hold few days each, and write few files.
     """
+    rows = df.withColumn(PARTITION, F.expr(day))
+    if rebalance:
+        rows = rows.hint("rebalance", PARTITION)
     mode = "dynamic" if only_days_present else "static"
     (
-        df.withColumn(PARTITION, F.expr(day))
-        .hint("rebalance", PARTITION)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(PARTITION)
         .parquet(path)
     )
 
 
+def on_days(table: DataFrame, days: Collection[date] | None) -> DataFrame:
+    """Rows of the given days, or all. Other days' folders are not opened."""
+    return table if days is None else table.filter(F.col(PARTITION).isin(list(days)))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
 from collarlake.schemas import STAGING_TELEMETRY
+from collarlake.sources.tables import on_days
 
 # Staging column -> silver column, where the names differ.
 RENAMED = {"reading_time": "parsed_reading_time"}
@@ -77,13 +79,11 @@ def with_load_audit(df: DataFrame) -> DataFrame:
 
 
 def load_telemetry(
-    spark: SparkSession, path: str, days: tuple[date, date] | None = None
+    spark: SparkSession, path: str, days: Collection[date] | None = None
 ) -> Load:
     """Load silver files. Records, and files, that cannot be read do not stop the load.
 
-    ``days`` limits the load to silver's folders of these days, both included.
+    ``days`` limits the load to silver's folders of these days.
     """
     silver = spark.read.option("ignoreCorruptFiles", True).parquet(path)
-    if days is not None:
-        silver = silver.filter(F.col("reading_date").between(F.lit(days[0]), F.lit(days[1])))
-    return split_load(with_load_audit(silver))
+    return split_load(with_load_audit(on_days(silver, days)))

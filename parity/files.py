@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collarlake.operators.latest import latest_row
-from collarlake.plans import lake, models
+from collarlake.plans import lake
 from collarlake.schemas import RAW_TELEMETRY
 from collarlake.sources import registry, tables, telemetry
 from collarlake.streaming import bronze
@@ -260,5 +260,4 @@ def lake_build(spark, sf_dir):
     write_json(once, place.landing)
     lake.build_bronze(spark, place)
     write_json(once, place.landing)
-    mart = lake.run(spark, place, adapter.AS_OF)
-    return mart.select(*models.BI_COLUMNS)
+    return lake.run(spark, place, adapter.AS_OF)
