@@ -11,7 +11,7 @@ from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from collarlake.operators import quality
 from collarlake.plans import models
@@ -73,7 +73,8 @@ def build_staging(spark: SparkSession, lake: Lake, days: Days = None) -> None:
 
     Rows that do not fit go to rejected_telemetry, which holds those of the last load.
     """
-    load = load_telemetry(spark, lake.path("silver"), days)
+    counts = Observation()
+    load = load_telemetry(spark, lake.path("silver"), days, counts)
     tables.overwrite_by_day(
         load.loaded,
         lake.path("staging_telemetry"),
@@ -81,7 +82,8 @@ def build_staging(spark: SparkSession, lake: Lake, days: Days = None) -> None:
         only_days_present=days is not None,
         rebalance=False,
     )
-    tables.overwrite(load.rejected, lake.path("rejected_telemetry"))
+    rejected = load.rejected if counts.get["rejected"] else load.rejected.limit(0)
+    tables.overwrite(rejected, lake.path("rejected_telemetry"))
     tables.overwrite(load_registry(spark, lake.registry), lake.path("staging_registry"))
 
 

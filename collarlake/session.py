@@ -12,6 +12,8 @@ SETTINGS = {
     # Split a hot partition of a join even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Do not record a Python call site per expression: it doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A late reading rewrites its own day, not the whole table.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -8,7 +8,7 @@ from functools import reduce
 from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
@@ -52,17 +52,21 @@ def _does_not_fit(df: DataFrame, field: StructField) -> Column | None:
     return reduce(or_, tests) if tests else None
 
 
-def split_load(df: DataFrame) -> Load:
+def split_load(df: DataFrame, counts: Observation | None = None) -> Load:
     """Project to the staging columns, and set rows apart that have a value that does not fit.
 
     ``df`` has the silver columns and, as ``ingested_at`` and ``source_file``, the load
     time and file name, which replace those of bronze. Columns that a file lacks are NULL.
+
+    ``counts`` gets the number of rows ``rejected`` once ``loaded`` was written. It is
+    counted on the way, so the files need a second pass only if there are any.
     """
     fields = list(STAGING_TELEMETRY)
     tests = {f.name: _does_not_fit(df, f) for f in fields}
     tests = {name: test for name, test in tests.items() if test is not None}
     fails = reduce(or_, tests.values())
-    loaded = df.filter(~fails).select(*(_typed(df, f).alias(f.name) for f in fields))
+    observed = df if counts is None else df.observe(counts, F.count_if(fails).alias("rejected"))
+    loaded = observed.filter(~fails).select(*(_typed(df, f).alias(f.name) for f in fields))
     reasons = F.array(*(F.when(test, F.lit(name)) for name, test in tests.items()))
     rejected = df.filter(fails).select(
         *(_source(df, f).cast("string").alias(f.name) for f in fields),
@@ -79,11 +83,14 @@ def with_load_audit(df: DataFrame) -> DataFrame:
 
 
 def load_telemetry(
-    spark: SparkSession, path: str, days: Collection[date] | None = None
+    spark: SparkSession,
+    path: str,
+    days: Collection[date] | None = None,
+    counts: Observation | None = None,
 ) -> Load:
     """Load silver files. Records, and files, that cannot be read do not stop the load.
 
     ``days`` limits the load to silver's folders of these days.
     """
     silver = spark.read.option("ignoreCorruptFiles", True).parquet(path)
-    return split_load(with_load_audit(on_days(silver, days)))
+    return split_load(with_load_audit(on_days(silver, days)), counts)

@@ -15,11 +15,18 @@ def read_landing(
     path: str,
     schema: StructType = RAW_TELEMETRY,
     max_files_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """New JSON files as a stream. ``max_files_per_batch`` bounds a batch after a backlog."""
+    """New JSON files as a stream.
+
+    ``max_files_per_batch`` bounds a batch after a backlog. With ``archive`` files are
+    moved there once ingested, so that the landing folder stays quick to list.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)
 
 
@@ -54,9 +61,10 @@ def ingest(
     path: str,
     checkpoint: str,
     max_files_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> None:
     """Ingest all files that are new since the last run, and return when they are in."""
-    stream = with_ingest_audit(
-        read_landing(spark, landing, max_files_per_batch=max_files_per_batch)
+    files = read_landing(
+        spark, landing, max_files_per_batch=max_files_per_batch, archive=archive
     )
-    start_bronze(stream, path, checkpoint).awaitTermination()
+    start_bronze(with_ingest_audit(files), path, checkpoint).awaitTermination()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from collarlake.schemas import STAGING_REGISTRY, STAGING_TELEMETRY
@@ -88,6 +89,15 @@ def silver_files(spark, path, **changes):
     return load_telemetry(spark, str(path))
 
 
+def test_rejected_rows_are_counted_on_the_way(spark, tmp_path):
+    silver_files(spark, tmp_path / "s", heart_rate_bpm=F.concat(F.lit("1"), "collar_id"))
+    counts = Observation()
+    load = load_telemetry(spark, str(tmp_path / "s"), counts=counts)
+    tables.overwrite(load.loaded, str(tmp_path / "out"))
+    assert counts.get["rejected"] == 3
+    assert tables.read(spark, str(tmp_path / "out")).count() == 0
+
+
 def test_load_has_the_staging_schema_and_new_audit_values(spark, tmp_path):
     load = silver_files(spark, tmp_path / "s")
     assert [(f.name, f.dataType) for f in load.loaded.schema] == [

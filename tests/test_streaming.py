@@ -70,6 +70,18 @@ def test_the_schema_is_fixed(spark, tmp_path):
     assert all(out[None][name] is None for name in RAW_TELEMETRY.names)
 
 
+def test_ingested_files_can_be_archived(spark, tmp_path):
+    landing, bronze, checkpoint = places(tmp_path)
+    archive = tmp_path / "archive"
+    archive.mkdir()
+    for name in ("a", "b", "c"):
+        drop_file(landing, f"{name}.json", reading(name))
+        ingest(spark, str(landing), bronze, checkpoint, archive=str(archive))
+    out = read_bronze(spark, bronze)
+    assert sorted(r.collar_id for r in out.collect()) == ["a", "b", "c"]
+    assert {f.name for f in archive.rglob("*.json")} >= {"a.json"}
+
+
 def test_stream_can_run_on_and_be_stopped(spark, tmp_path):
     landing, bronze, checkpoint = places(tmp_path)
     drop_file(landing, "a.json", reading("K1"))
