@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A double average differs in its last bits with the order of its partial sums.
-# Ten decimals drop that noise before the value is rounded half up.
-_NOISE_FREE = "decimal(28,10)"
+# A double average differs in its last bits with the order of its partial sums. This many
+# decimals drop that noise before the value is rounded half up.
+FLOAT_AVERAGE_SCALE = 10
+# The warehouse gives an average of integers six decimals.
+INTEGER_AVERAGE_SCALE = 6
 
 
-def round_half_up(value: Column, places: int) -> Column:
+def round_half_up(value: Column, places: int, scale: int = FLOAT_AVERAGE_SCALE) -> Column:
     """Round a double half up. Values too large for the decimal have no fraction: kept as is."""
-    exact = value.try_cast(_NOISE_FREE)
+    exact = value.try_cast(f"decimal(28,{scale})")
     return F.coalesce(F.round(exact, places).cast("double"), value)
 
 

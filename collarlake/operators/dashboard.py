@@ -35,11 +35,6 @@ def date_bounds(mart: DataFrame) -> DataFrame:
     )
 
 
-def filter_dates(mart: DataFrame, first: date, last: date) -> DataFrame:
-    """Days from ``first`` to ``last``, both included."""
-    return mart.filter(F.col("reading_date").between(F.lit(first), F.lit(last)))
-
-
 def filter_cat(mart: DataFrame, name: str = k.ALL_CATS, cat_id: str | None = None) -> DataFrame:
     """Days of the named cat, or of all. Names may repeat; ``cat_id`` picks exactly one."""
     if name != k.ALL_CATS:
@@ -49,6 +44,25 @@ def filter_cat(mart: DataFrame, name: str = k.ALL_CATS, cat_id: str | None = Non
     return mart
 
 
+def select_days(
+    mart: DataFrame,
+    first: date | None = None,
+    last: date | None = None,
+    name: str = k.ALL_CATS,
+    cat_id: str | None = None,
+) -> DataFrame:
+    """The dashboard's selection: a range of days, by default all, and one cat or all.
+
+    Days are picked on a scale of dates, so rows without a date are never selected.
+    """
+    dated = mart.dropna(subset=["reading_date"])
+    if first is not None:
+        dated = dated.filter(F.col("reading_date") >= F.lit(first))
+    if last is not None:
+        dated = dated.filter(F.col("reading_date") <= F.lit(last))
+    return filter_cat(dated, name, cat_id)
+
+
 def has_rows(mart: DataFrame) -> DataFrame:
     """One row, one flag. Reads no further than the first row found."""
     return mart.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from collarlake.sizing import estimated_bytes
 from collarlake.sources import tables
 from collarlake.workspace import scratch_dir
 
@@ -16,12 +17,6 @@ from collarlake.workspace import scratch_dir
 ROWS_PER_JOIN_TASK = 4_000_000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, the one it compares with the broadcast threshold."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 def broadcast_threshold(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 

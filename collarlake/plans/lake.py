@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from collarlake.operators import quality
 from collarlake.plans import models
 from collarlake.plans.silver import readings_on, silver
+from collarlake.sizing import sized_for
 from collarlake.sources import tables
 from collarlake.sources.registry import load_registry, read_registry_csv
 from collarlake.sources.telemetry import load_telemetry, read_bronze
@@ -41,6 +42,11 @@ DAY = "reading_date"
 DAY_OF_READING = "cast(reading_time as date)"
 
 
+def _many(days: Days) -> bool:
+    """Whether tasks may hold several days. Rows of one day need no regrouping by day."""
+    return days is None or len(days) > 1
+
+
 def build_bronze(spark: SparkSession, lake: Lake, max_files_per_batch: int | None = None) -> None:
     ingest(
         spark,
@@ -58,14 +64,16 @@ def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     Readings without a valid time are in no day; only a full rebuild takes them.
     """
     bronze = read_bronze(spark, lake.path("bronze"))
-    if days is not None:
-        bronze = readings_on(bronze, days)
-    tables.overwrite_by_day(
-        silver(bronze, read_registry_csv(spark, lake.registry)),
-        lake.path("silver"),
-        "cast(parsed_reading_time as date)",
-        only_days_present=days is not None,
-    )
+    with sized_for(bronze):
+        if days is not None:
+            bronze = readings_on(bronze, days)
+        tables.overwrite_by_day(
+            silver(bronze, read_registry_csv(spark, lake.registry)),
+            lake.path("silver"),
+            "cast(parsed_reading_time as date)",
+            only_days_present=days is not None,
+            rebalance=_many(days),
+        )
 
 
 def build_staging(spark: SparkSession, lake: Lake, days: Days = None) -> None:
@@ -105,24 +113,31 @@ def build_marts(
     tables.overwrite(models.dim_cats(registry, as_of), lake.path("dim_cats"))
 
     readings = staged_readings(spark, lake, days)
-    tables.overwrite_by_day(
-        models.fact_readings(readings),
-        lake.path("fact_readings"),
-        DAY_OF_READING,
-        only_days_present=part,
-        rebalance=False,
-    )
-    tables.overwrite_by_day(
-        models.daily_health(models.daily_telemetry(readings)),
-        lake.path("daily_health"),
-        DAY,
-        only_days_present=part,
-    )
+    with sized_for(readings):
+        tables.overwrite_by_day(
+            models.fact_readings(readings),
+            lake.path("fact_readings"),
+            DAY_OF_READING,
+            only_days_present=part,
+            rebalance=False,
+        )
+        tables.overwrite_by_day(
+            models.daily_health(models.daily_telemetry(readings)),
+            lake.path("daily_health"),
+            DAY,
+            only_days_present=part,
+            rebalance=_many(days),
+        )
     health = tables.on_days(tables.read(spark, lake.path("daily_health")), days)
     cats = tables.read(spark, lake.path("dim_cats"))
-    tables.overwrite_by_day(
-        models.bi_flat(health, cats), lake.path("bi_flat"), DAY, only_days_present=part
-    )
+    with sized_for(health, cats):
+        tables.overwrite_by_day(
+            models.bi_flat(health, cats),
+            lake.path("bi_flat"),
+            DAY,
+            only_days_present=part,
+            rebalance=_many(days),
+        )
 
 
 def check(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
@@ -147,6 +162,12 @@ def check(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     )
 
 
+def require_checks(spark: SparkSession, lake: Lake, days: Days = None) -> None:
+    """Raise if a check fails."""
+    with sized_for(tables.read(spark, lake.path("staging_telemetry"))):
+        quality.require_passed(check(spark, lake, days))
+
+
 def run(
     spark: SparkSession,
     lake: Lake,
@@ -162,5 +183,5 @@ def run(
     build_silver(spark, lake, days)
     build_staging(spark, lake, days)
     build_marts(spark, lake, as_of, days)
-    quality.require_passed(check(spark, lake, days))
+    require_checks(spark, lake, days)
     return tables.read(spark, lake.path("bi_flat")).select(*models.BI_COLUMNS)

@@ -11,7 +11,7 @@ from collarlake import constants as k
 from collarlake.functions import health, profile
 from collarlake.functions.cleaning import default_to
 from collarlake.functions.keys import surrogate_key
-from collarlake.functions.numbers import round_half_up
+from collarlake.functions.numbers import INTEGER_AVERAGE_SCALE, round_half_up
 from collarlake.operators.daily import daily_measures
 
 
@@ -54,7 +54,9 @@ def daily_telemetry(readings: DataFrame) -> DataFrame:
         surrogate_key(daily, "cat_id", "reading_date").alias("daily_summary_id"),
         "cat_id",
         "reading_date",
-        round_half_up(F.col("avg_heart_rate_bpm"), 1).alias("avg_heart_rate_bpm"),
+        round_half_up(F.col("avg_heart_rate_bpm"), 1, INTEGER_AVERAGE_SCALE).alias(
+            "avg_heart_rate_bpm"
+        ),
         "total_daily_steps",
         round_half_up(F.col("avg_purr_frequency_hz"), 2).alias("avg_purr_frequency_hz"),
         round_half_up(F.col("avg_ambient_temp_c"), 2).alias("avg_ambient_temp_c"),

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Files of a useful size from the rebalance step before a write.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Split a hot partition of a join even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

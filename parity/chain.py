@@ -19,8 +19,8 @@ def time_text(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%g')"
 
 
-def rounded(value: str, places: int) -> str:
-    return f"cast(round(cast({value} as decimal(28,10)), {places}) as double)"
+def rounded(value: str, places: int, scale: int = 10) -> str:
+    return f"cast(round(cast({value} as decimal(28,{scale})), {places}) as double)"
 
 
 def parsed(column: str) -> str:
@@ -92,7 +92,7 @@ def daily(source: str) -> str:
     return f"""
     select {key("cat_id", "cast(reading_date as string)")} as daily_summary_id,
            cat_id, reading_date,
-           {rounded("heart", 1)} as avg_heart_rate_bpm, total_daily_steps,
+           {rounded("heart", 1, 6)} as avg_heart_rate_bpm, total_daily_steps,
            {rounded("purr", 2)} as avg_purr_frequency_hz,
            {rounded("temp", 2)} as avg_ambient_temp_c,
            min_battery_level_pct, estimated_sleep_minutes, estimated_active_minutes,
@@ -153,11 +153,13 @@ TABLES = {
     "daily": daily("measures"),
     "health": health("daily"),
     "bi": flat("health"),
+    "shown": "select * from bi where reading_date is not null",
     "unregistered_staged": staged("dedup"),
     "unregistered_measures": measures("unregistered_staged"),
     "unregistered_daily": daily("unregistered_measures"),
     "unregistered_health": health("unregistered_daily"),
     "unmatched_bi": flat("unregistered_health"),
+    "unmatched_shown": "select * from unmatched_bi where reading_date is not null",
     "raw_measures": measures("raw_staged"),
     "raw_daily": daily("raw_measures"),
     "raw_health": health("raw_daily"),

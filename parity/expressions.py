@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from collarlake.functions import cleaning, health, profile
 from collarlake.functions.keys import surrogate_key
-from collarlake.functions.numbers import round_half_up
-from collarlake.operators.dashboard import display_profiles
+from collarlake.functions.numbers import INTEGER_AVERAGE_SCALE, round_half_up
+from collarlake.operators.dashboard import display_profiles, select_days
 from collarlake.operators.daily import daily_measures
 from collarlake.plans import models
 from collarlake.schemas import RAW_TELEMETRY
@@ -117,16 +117,18 @@ def to_reading_date(spark, sf_dir):
 
 @query(
     "round_daily",
-    f"""select cat_id, reading_date, {chain.rounded("heart", 1)} as avg_heart_rate_bpm,
+    f"""select cat_id, reading_date, {chain.rounded("heart", 1, 6)} as avg_heart_rate_bpm,
                {chain.rounded("purr", 2)} as avg_purr_frequency_hz,
                {chain.rounded("temp", 2)} as avg_ambient_temp_c from measures""",
 )
 def round_daily(spark, sf_dir):
-    places = {"avg_heart_rate_bpm": 1, "avg_purr_frequency_hz": 2, "avg_ambient_temp_c": 2}
+    heart, purr, temp = "avg_heart_rate_bpm", "avg_purr_frequency_hz", "avg_ambient_temp_c"
     return daily_measures(adapter.staged(spark, sf_dir)).select(
         "cat_id",
         "reading_date",
-        *(round_half_up(F.col(name), n).alias(name) for name, n in places.items()),
+        round_half_up(F.col(heart), 1, INTEGER_AVERAGE_SCALE).alias(heart),
+        round_half_up(F.col(purr), 2).alias(purr),
+        round_half_up(F.col(temp), 2).alias(temp),
     )
 
 
@@ -242,10 +244,10 @@ def pct_of_day(spark, sf_dir):
     """select distinct cat_id, cat_name, breed,
               upper(gender[1]) || lower(gender[2:]) as gender, age_years,
               human_equivalent_age, weight_lbs, weight_category
-       from bi where cat_id is not null""",
+       from shown where cat_id is not null""",
 )
 def display_gender(spark, sf_dir):
-    return display_profiles(adapter.bi(spark, sf_dir))
+    return display_profiles(select_days(adapter.bi(spark, sf_dir)))
 
 
 @query(

@@ -114,12 +114,12 @@ def agg_count_all(spark, sf_dir):
 KPIS = """select cast(trunc(avg(total_daily_steps)) as bigint) as avg_steps,
     cast(trunc(avg(estimated_sleep_minutes)) as bigint) as avg_sleep_minutes,
     round_even(avg(avg_purr_frequency_hz), 1) as avg_purr_hz,
-    cast(trunc(avg(daily_feline_health_score)) as bigint) as avg_health_score from bi"""
+    cast(trunc(avg(daily_feline_health_score)) as bigint) as avg_health_score from shown"""
 
 
 @query("dash_kpis", KPIS)
 def dash_kpis(spark, sf_dir):
-    return dashboard.kpis(adapter.bi(spark, sf_dir))
+    return dashboard.kpis(dashboard.select_days(adapter.bi(spark, sf_dir)))
 
 
 @query(
@@ -129,7 +129,7 @@ def dash_kpis(spark, sf_dir):
                avg_health_score - 75 as score_delta from ({KPIS})""",
 )
 def dash_kpi_deltas(spark, sf_dir):
-    return dashboard.kpi_deltas(adapter.bi(spark, sf_dir))
+    return dashboard.kpi_deltas(dashboard.select_days(adapter.bi(spark, sf_dir)))
 
 
 @query("dash_date_bounds", "select min(reading_date) as min_date, max(reading_date) as max_date from bi")
@@ -141,12 +141,12 @@ def dash_date_bounds(spark, sf_dir):
     "dash_activity_mix",
     """select activity, avg_minutes, avg_minutes / (s + a + l) as share
        from (select avg(estimated_sleep_minutes) as s, avg(estimated_active_minutes) as a,
-                    avg(estimated_lazy_minutes) as l from bi)
+                    avg(estimated_lazy_minutes) as l from shown)
        cross join lateral (values ('Sleep', s), ('Active Play', a), ('Lazy Lounging', l))
              as t(activity, avg_minutes)""",
 )
 def dash_activity_mix(spark, sf_dir):
-    return dashboard.activity_mix(adapter.bi(spark, sf_dir))
+    return dashboard.activity_mix(dashboard.select_days(adapter.bi(spark, sf_dir)))
 
 
 @query("distinct_cats", "select distinct cat_name from unmatched_bi where cat_name is not null")
@@ -166,25 +166,25 @@ def sort_names(spark, sf_dir):
 @query(
     "dedup_cats",
     """select distinct cat_id, cat_name, breed, gender, age_years, human_equivalent_age,
-              weight_lbs, weight_category from unmatched_bi where cat_id is not null""",
+              weight_lbs, weight_category from unmatched_shown where cat_id is not null""",
 )
 def dedup_cats(spark, sf_dir):
-    return dashboard.cat_profiles(adapter.unmatched_bi(spark, sf_dir))
+    return dashboard.cat_profiles(dashboard.select_days(adapter.unmatched_bi(spark, sf_dir)))
 
 
 @query(
     "first_row_profile",
     f"""select distinct cat_id, cat_name, breed, gender, age_years, human_equivalent_age,
-               weight_lbs, weight_category from bi where cat_name = '{CAT_NAME}'""",
+               weight_lbs, weight_category from shown where cat_name = '{CAT_NAME}'""",
 )
 def first_row_profile(spark, sf_dir):
     mart = adapter.bi(spark, sf_dir)
-    return dashboard.cat_profiles(dashboard.filter_cat(mart, CAT_NAME))
+    return dashboard.cat_profiles(dashboard.select_days(mart, name=CAT_NAME))
 
 
 @query("dash_filter_dates", f"select * from bi where {IN_RANGE}")
 def dash_filter_dates(spark, sf_dir):
-    return dashboard.filter_dates(adapter.bi(spark, sf_dir), FIRST, LAST)
+    return dashboard.select_days(adapter.bi(spark, sf_dir), FIRST, LAST)
 
 
 @query("dash_filter_cat", f"select * from bi where cat_name = '{CAT_NAME}'")
@@ -194,23 +194,22 @@ def dash_filter_cat(spark, sf_dir):
 
 @query("dash_filter_cat_id", f"select * from bi where {IN_RANGE} and cat_id = '{CAT_ID}'")
 def dash_filter_cat_id(spark, sf_dir):
-    mart = dashboard.filter_dates(adapter.bi(spark, sf_dir), FIRST, LAST)
-    return dashboard.filter_cat(mart, cat_id=CAT_ID)
+    return dashboard.select_days(adapter.bi(spark, sf_dir), FIRST, LAST, cat_id=CAT_ID)
 
 
 @query("dash_empty_check", f"select count(*) > 0 as has_rows from bi where {IN_RANGE}")
 def dash_empty_check(spark, sf_dir):
-    return dashboard.has_rows(dashboard.filter_dates(adapter.bi(spark, sf_dir), FIRST, LAST))
+    return dashboard.has_rows(dashboard.select_days(adapter.bi(spark, sf_dir), FIRST, LAST))
 
 
 @query(
     "latest_per_cat",
-    """select cat_id, reading_date, daily_feline_health_score, health_status_category from bi
-       where cat_id is not null and reading_date is not null
+    """select cat_id, reading_date, daily_feline_health_score, health_status_category from shown
+       where cat_id is not null
        qualify row_number() over (partition by cat_id order by reading_date desc) = 1""",
 )
 def latest_per_cat(spark, sf_dir):
-    return dashboard.latest_per_cat(adapter.bi(spark, sf_dir))
+    return dashboard.latest_per_cat(dashboard.select_days(adapter.bi(spark, sf_dir)))
 
 
 @query(
@@ -220,31 +219,31 @@ def latest_per_cat(spark, sf_dir):
                case when avg_heart_rate_bpm < 100 then 'low'
                     when avg_heart_rate_bpm <= 180 then 'normal'
                     when avg_heart_rate_bpm > 180 then 'high' end as heart_rate_zone
-        from bi where cat_name = '{CAT_NAME}'
+        from shown where cat_name = '{CAT_NAME}'
         order by reading_date desc nulls last, daily_summary_id desc limit 1""",
 )
 def latest_one_cat(spark, sf_dir):
-    return dashboard.latest_day(dashboard.filter_cat(adapter.bi(spark, sf_dir), CAT_NAME))
+    return dashboard.latest_day(dashboard.select_days(adapter.bi(spark, sf_dir), name=CAT_NAME))
 
 
 @query(
     "detail_table",
     """select cat_name, breed, reading_date, avg_heart_rate_bpm, total_daily_steps,
               avg_purr_frequency_hz, estimated_sleep_minutes, daily_feline_health_score,
-              health_status_category from bi
+              health_status_category from shown
        order by reading_date desc, cat_name, daily_summary_id""",
 )
 def detail_table(spark, sf_dir):
-    return dashboard.detail_table(adapter.bi(spark, sf_dir))
+    return dashboard.detail_table(dashboard.select_days(adapter.bi(spark, sf_dir)))
 
 
 @query(
     "step_trend",
-    """select reading_date, cat_name, total_daily_steps from bi
+    """select reading_date, cat_name, total_daily_steps from shown
        order by reading_date, cat_name, daily_summary_id""",
 )
 def step_trend(spark, sf_dir):
-    return dashboard.step_trend(adapter.bi(spark, sf_dir))
+    return dashboard.step_trend(dashboard.select_days(adapter.bi(spark, sf_dir)))
 
 
 @query(

@@ -63,13 +63,21 @@ def test_names_bounds_and_profiles(sample):
 
 
 def test_filters_include_both_ends(sample):
-    some = dashboard.filter_dates(sample, date(2026, 5, 1), date(2026, 5, 2))
+    some = dashboard.select_days(sample, date(2026, 5, 1), date(2026, 5, 2))
     assert sorted(r.cat_id for r in some.collect()) == ["C1", "C2"]
+    assert dashboard.select_days(sample, last=date(2026, 5, 2), name="Kit").count() == 1
+    assert dashboard.select_days(sample, first=date(2026, 5, 3), cat_id="C1").count() == 1
     assert dashboard.filter_cat(sample).count() == 4
     assert dashboard.filter_cat(sample, "Tom").count() == 2
     assert dashboard.filter_cat(sample, cat_id="C2").count() == 1
 
 
+def test_rows_without_a_date_are_not_selected(spark, sample):
+    undated = mart(spark, ("C1", None, 90.0, 9000, 24.0, 839, 100, "Excellent"))
+    assert dashboard.select_days(sample.union(undated)).count() == 4
+    assert rows(dashboard.date_bounds(undated)) == [(None, None)]
+
+
 def test_latest(sample):
     latest = {r[0]: r[1:] for r in dashboard.latest_per_cat(sample).collect()}
     assert latest == {
