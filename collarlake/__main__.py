@@ -17,12 +17,19 @@ from collarlake.session import build_session
 STEPS = ("bronze", "silver", "staging", "marts", "check")
 
 
+UNDATED = "undated"
+
+
+def _day(text: str) -> date | None:
+    return None if text == UNDATED else date.fromisoformat(text)
+
+
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="collarlake", description="Build the lake's tables.")
     for name in ("root", "landing", "registry"):
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
-    parser.add_argument("--days", nargs="+", type=date.fromisoformat, help="rebuild only these")
+    parser.add_argument("--days", nargs="+", type=_day, help=f"rebuild only these, or {UNDATED}")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day ages refer to")
     parser.add_argument("--max-files-per-batch", type=int)
     return parser.parse_args(arguments)

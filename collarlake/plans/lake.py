@@ -36,7 +36,8 @@ class Lake:
         return f"{self.root.rstrip('/')}/{table}"
 
 
-Days = Collection[date] | None
+# Days to rebuild, or None for all. None among the days stands for readings without a day.
+Days = Collection[date | None] | None
 
 DAY = "reading_date"
 DAY_OF_READING = "cast(reading_time as date)"
@@ -60,8 +61,8 @@ def build_bronze(spark: SparkSession, lake: Lake, max_files_per_batch: int | Non
 def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     """Rebuild silver, or only the given days of it.
 
-    Duplicates of a reading have the same time, so a day can be rebuilt on its own.
-    Readings without a valid time are in no day; only a full rebuild takes them.
+    Duplicates of a reading have the same time, so a day can be rebuilt on its own. So
+    can the readings without a valid time, which are in no day.
     """
     bronze = read_bronze(spark, lake.path("bronze"))
     with sized_for(bronze):

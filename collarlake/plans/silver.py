@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collarlake.functions import cleaning
@@ -50,19 +50,33 @@ def silver(
     )
 
 
-def readings_on(bronze: DataFrame, days: Collection[date]) -> DataFrame:
-    """Readings of the given days.
+def _day(text: Column) -> Column:
+    return parse_reading_time(text).cast("date")
+
+
+def readings_on(bronze: DataFrame, days: Collection[date | None]) -> DataFrame:
+    """Readings of the given days; None stands for those without a valid time.
 
     The raw time is text in a fixed-width format, so a range of days is a range of
-    texts. Written this way the range reaches the Parquet reader and skips row groups.
+    texts. Written this way the range reaches the Parquet reader and skips row groups,
+    unless None is among the days.
     """
     text = F.col("reading_time")
-    first, after = min(days), max(days) + timedelta(days=1)
-    in_range = (text >= first.isoformat()) & (text < after.isoformat())
-    return bronze.filter(in_range & F.left(text, F.lit(10)).isin([d.isoformat() for d in days]))
+    dated = sorted(day for day in days if day is not None)
+    wanted = F.lit(False)
+    if dated:
+        after = dated[-1] + timedelta(days=1)
+        in_range = (text >= dated[0].isoformat()) & (text < after.isoformat())
+        wanted = in_range & _day(text).isin(dated)
+    if None in days:
+        wanted = wanted | _day(text).isNull()
+    return bronze.filter(wanted)
 
 
 def days_touched(bronze: DataFrame, since: datetime) -> DataFrame:
-    """Days that readings ingested after ``since`` belong to: those to rebuild."""
-    day = parse_reading_time(F.col("reading_time")).cast("date").alias("reading_date")
-    return bronze.filter(F.col("ingested_at") > F.lit(since)).select(day).dropna().distinct()
+    """Days that readings ingested after ``since`` belong to: those to rebuild.
+
+    NULL is among them if there are readings without a valid time.
+    """
+    day = _day(F.col("reading_time")).alias("reading_date")
+    return bronze.filter(F.col("ingested_at") > F.lit(since)).select(day).distinct()

@@ -46,9 +46,15 @@ def overwrite_by_day(
     )
 
 
-def on_days(table: DataFrame, days: Collection[date] | None) -> DataFrame:
-    """Rows of the given days, or all. Other days' folders are not opened."""
-    return table if days is None else table.filter(F.col(PARTITION).isin(list(days)))
+def on_days(table: DataFrame, days: Collection[date | None] | None) -> DataFrame:
+    """Rows of the given days, or all. None among the days stands for rows without a day.
+
+    Other days' folders are not opened.
+    """
+    if days is None:
+        return table
+    wanted = F.col(PARTITION).isin([day for day in days if day is not None])
+    return table.filter(wanted | F.col(PARTITION).isNull() if None in days else wanted)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField
+from pyspark.sql.types import StructField
 
 from collarlake.schemas import STAGING_TELEMETRY
 from collarlake.sources.tables import on_days
@@ -31,27 +31,39 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _source(df: DataFrame, field: StructField) -> Column:
+def _source(df: DataFrame, field: StructField) -> StructField | None:
+    """The column of ``df`` that the staging column is loaded from, if there is one."""
     name = RENAMED.get(field.name, field.name)
-    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+    return df.schema[name] if name in df.columns else None
 
 
 def _typed(df: DataFrame, field: StructField) -> Column:
-    return _source(df, field).try_cast(field.dataType)
+    source = _source(df, field)
+    if source is None:
+        return F.lit(None).cast(field.dataType)
+    value = F.col(source.name)
+    return value if source.dataType == field.dataType else value.try_cast(field.dataType)
 
 
 def _does_not_fit(df: DataFrame, field: StructField) -> Column | None:
     """Whether a row's value does not fit the column; None where every value does."""
+    source = _source(df, field)
+    if source is None:
+        return None
     tests = []
-    name = RENAMED.get(field.name, field.name)
-    if name in df.columns and df.schema[name].dataType != field.dataType:
-        tests.append(_source(df, field).isNotNull() & _typed(df, field).isNull())
-    if isinstance(field.dataType, StringType):
+    if source.dataType != field.dataType:
+        tests.append(F.col(source.name).isNotNull() & _typed(df, field).isNull())
+    if "max_length" in field.metadata:
         too_long = F.length(_typed(df, field)) > field.metadata["max_length"]
         tests.append(F.coalesce(too_long, F.lit(False)))
     return reduce(or_, tests) if tests else None
 
 
+def _text(df: DataFrame, field: StructField) -> Column:
+    source = _source(df, field)
+    return F.lit(None).cast("string") if source is None else F.col(source.name).cast("string")
+
+
 def split_load(df: DataFrame, counts: Observation | None = None) -> Load:
     """Project to the staging columns, and set rows apart that have a value that does not fit.
 
@@ -69,7 +81,7 @@ def split_load(df: DataFrame, counts: Observation | None = None) -> Load:
     loaded = observed.filter(~fails).select(*(_typed(df, f).alias(f.name) for f in fields))
     reasons = F.array(*(F.when(test, F.lit(name)) for name, test in tests.items()))
     rejected = df.filter(fails).select(
-        *(_source(df, f).cast("string").alias(f.name) for f in fields),
+        *(_text(df, f).alias(f.name) for f in fields),
         F.array_compact(reasons).alias("bad_columns"),
     )
     return Load(loaded, rejected)
@@ -85,12 +97,16 @@ def with_load_audit(df: DataFrame) -> DataFrame:
 def load_telemetry(
     spark: SparkSession,
     path: str,
-    days: Collection[date] | None = None,
+    days: Collection[date | None] | None = None,
     counts: Observation | None = None,
+    skip_corrupt_files: bool = False,
 ) -> Load:
-    """Load silver files. Records, and files, that cannot be read do not stop the load.
+    """Load silver files. Records that do not fit do not stop the load.
 
-    ``days`` limits the load to silver's folders of these days.
+    ``days`` limits the load to silver's folders of these days. With
+    ``skip_corrupt_files`` files that cannot be read do not stop it either. Spark then
+    takes any failure to read for a corrupt file, a lost connection too, and the rest of
+    that file is missing from the load; so it is off unless asked for.
     """
-    silver = spark.read.option("ignoreCorruptFiles", True).parquet(path)
+    silver = spark.read.option("ignoreCorruptFiles", skip_corrupt_files).parquet(path)
     return split_load(with_load_audit(on_days(silver, days)), counts)

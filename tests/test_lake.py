@@ -78,6 +78,7 @@ def test_build_and_late_readings(spark, place, tmp_path):
         reading("C1", 2, 0, steps_count=150),
         reading("C2", 2, 0),
         reading("C2", 1, 1),
+        reading("C2", 2, 0, reading_time="2026-05-02 99:00:00"),
     )
     second = days(lake.run(spark, place, AS_OF, days=[date(2026, 5, 2)]))
     assert second["C1", date(2026, 5, 2)].total_daily_steps == 1050
@@ -90,6 +91,11 @@ def test_build_and_late_readings(spark, place, tmp_path):
         assert kept == {f for f in new if f[0] != "2026-05-02"}
         assert not {f for f in old if f[0] == "2026-05-02"} & new
 
+    # Readings without a valid time can be rebuilt on their own.
+    undated = days(lake.run(spark, place, AS_OF, days=[None]))
+    assert set(undated) == set(second) | {("C2", None)}
+    assert all(undated[key] == second[key] for key in second)
+
     # A full rebuild takes the rest.
     third = days(lake.run(spark, place, AS_OF))
     assert third["C2", date(2026, 5, 1)].total_daily_steps == 599

@@ -130,10 +130,13 @@ def test_a_missing_column_is_null(spark, tmp_path):
     assert {r.purr_frequency_hz for r in load.loaded.collect()} == {None}
 
 
-def test_an_unreadable_file_does_not_stop_the_load(spark, tmp_path):
+def test_an_unreadable_file_is_skipped_only_if_asked_for(spark, tmp_path):
     silver_files(spark, tmp_path / "s")
     (tmp_path / "s" / "part-broken.snappy.parquet").write_bytes(b"PAR1 not parquet PAR1")
-    assert load_telemetry(spark, str(tmp_path / "s")).loaded.count() == 3
+    load = load_telemetry(spark, str(tmp_path / "s"), skip_corrupt_files=True)
+    assert load.loaded.count() == 3
+    with pytest.raises(Exception, match="part-broken"):
+        load_telemetry(spark, str(tmp_path / "s")).loaded.collect()
 
 
 def test_audit_counts_rows(spark, tmp_path):

@@ -178,6 +178,25 @@ def test_hot_keys_are_counted_once(spark):
         assert "BroadcastHashJoin" in plan_of(side)
 
 
+def test_silver_is_the_same_with_and_without_salts(spark):
+    """Half of the readings are of one cat, and a third have one collar and no valid time."""
+    pick = random.Random(3)
+    data = []
+    for i in range(600):
+        time = "bad" if i % 3 == 0 else f"2026-05-01 {i % 24:02d}:00:00"
+        collar = "K0" if i % 3 == 0 else f"K{i % 40}"
+        cat = "C0" if i % 2 == 0 else f"C{pick.randrange(20)}"
+        data.append((collar, cat, time, pick.randrange(30, 260), LATE, f"f{pick.randrange(3)}"))
+    df = bronze(spark, *data)
+    cats = registry(spark, *(f"C{i}" for i in range(15)))
+    plain = dedup_latest(clean(df)).join(cats, "cat_id")
+    spread = silver(df, cats, rows_per_task=5)
+    assert "_salt" in plan_of(spread)
+    assert spread.columns == plain.columns
+    assert sorted(rows(spread), key=str) == sorted(rows(plain), key=str)
+    assert spread.filter("parsed_reading_time is null").count() == 1
+
+
 def test_days_filter_reaches_the_reader(spark, tmp_path):
     df = bronze(
         spark,
@@ -194,7 +213,20 @@ def test_days_filter_reaches_the_reader(spark, tmp_path):
     assert "GreaterThanOrEqual(reading_time,2026-05-02)" in plan_of(some)
     assert "LessThan(reading_time,2026-05-05)" in plan_of(some)
     touched = rows(days_touched(stored, EARLY))
-    assert sorted(touched) == [(date(2026, 5, d),) for d in (1, 2, 3)]
+    assert set(touched) == {*((date(2026, 5, d),) for d in (1, 2, 3)), (None,)}
+
+
+def test_undated_readings_are_a_day_of_their_own(spark):
+    texts = ["2026-05-01 10:00:00", "2026-05-01 99:00:00", "bad", None]
+    df = bronze(spark, *(("K1", "C1", t, 100, LATE, "a") for t in texts))
+
+    def found(days):
+        return {r.reading_time for r in readings_on(df, days).collect()}
+
+    assert found([date(2026, 5, 1)]) == {texts[0]}
+    assert found([None]) == set(texts[1:])
+    assert found([None, date(2026, 5, 1)]) == set(texts)
+    assert found([]) == set()
 
 
 def test_sensor_values_are_cleaned(spark):

@@ -68,7 +68,8 @@ def test_command_runs_the_steps_in_order(spark, place, monkeypatch):  # noqa: F8
     assert mart.count() == 4
     command.main([*where, "--days", "2026-05-01", "--as-of", "2026-06-01"])
     assert tables.read(spark, place.path("bi_flat")).count() == 4
-    assert command.parse([*where, "--days", "2026-05-01"]).days == [date(2026, 5, 1)]
+    days = command.parse([*where, "--days", "2026-05-01", "undated"]).days
+    assert days == [date(2026, 5, 1), None]
 
 
 def test_audit_reads_no_columns(spark, tmp_path):
