@@ -39,6 +39,17 @@ class Lake:
 # Days to rebuild, or None for all. None among the days stands for readings without a day.
 Days = Collection[date | None] | None
 
+TABLES = (
+    "bronze",
+    "silver",
+    "staging_telemetry",
+    "staging_registry",
+    "dim_cats",
+    "fact_readings",
+    "daily_health",
+    "bi_flat",
+)
+
 DAY = "reading_date"
 DAY_OF_READING = "cast(reading_time as date)"
 
@@ -141,6 +152,17 @@ def build_marts(
         )
 
 
+def register(spark: SparkSession, lake: Lake) -> None:
+    """Name the written tables, and the models that are views, for use in SQL."""
+    for name in TABLES:
+        tables.read(spark, lake.path(name)).createOrReplaceTempView(name)
+    readings = staged_readings(spark, lake)
+    registry = models.stg_registry(tables.read(spark, lake.path("staging_registry")))
+    readings.createOrReplaceTempView("stg_telemetry")
+    registry.createOrReplaceTempView("stg_registry")
+    models.daily_telemetry(readings).createOrReplaceTempView("daily_telemetry")
+
+
 def check(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     """Failures per check, over the tables as they are now.
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collarlake.functions import cleaning
-from collarlake.functions.cleaning import parse_reading_time
 from collarlake.operators.joins import ROWS_PER_JOIN_TASK, join_profiles
 from collarlake.operators.latest import latest_row
 
@@ -20,7 +19,7 @@ def clean(bronze: DataFrame) -> DataFrame:
     """Parse the time and put sensor values outside their ranges right. Narrow: no shuffle."""
     return bronze.withColumns(
         {
-            "parsed_reading_time": parse_reading_time(F.col("reading_time")),
+            "parsed_reading_time": cleaning.parse_reading_time(F.col("reading_time")),
             "heart_rate_bpm": cleaning.clean_heart_rate(F.col("heart_rate_bpm")),
             "battery_level_pct": cleaning.clean_battery(F.col("battery_level_pct")),
             "steps_count": cleaning.clean_steps(F.col("steps_count")),
@@ -51,7 +50,7 @@ def silver(
 
 
 def _day(text: Column) -> Column:
-    return parse_reading_time(text).cast("date")
+    return cleaning.parse_reading_time(text).cast("date")
 
 
 def readings_on(bronze: DataFrame, days: Collection[date | None]) -> DataFrame:

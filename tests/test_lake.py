@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from collarlake.operators.quality import ChecksFailed
 from collarlake.plans import lake
 from collarlake.sources import tables
-from tests.conftest import plan_of
+from tests.conftest import plan_of, rows
 from tests.test_loads import HEADER
 from tests.test_streaming import drop_file
 
@@ -120,3 +121,42 @@ def test_days_are_read_by_folder(spark, place):
     assert {r.reading_time for r in staged.collect()} == {
         datetime(2026, 5, 2, h) for h in range(10)
     }
+
+
+def test_tables_and_views_can_be_used_in_sql(spark, place):
+    lake.run(spark, place, AS_OF)
+    lake.register(spark, place)
+    steps = spark.sql(
+        "select d.total_daily_steps, b.cat_name from daily_telemetry d "
+        "join bi_flat b using (daily_summary_id) where d.reading_date = date '2026-05-02'"
+    )
+    assert rows(steps) == [(1000, "Tom")]
+    counts = {
+        name: spark.table(name).count() for name in (*lake.TABLES, "stg_telemetry", "stg_registry")
+    }
+    assert counts["bronze"] == 23 and counts["silver"] == counts["stg_telemetry"] == 22
+    assert counts["dim_cats"] == counts["stg_registry"] == 2
+
+
+def test_a_large_day_is_split_over_files_and_small_days_are_not(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    day = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 20)
+    df = spark.range(300_000, numPartitions=16).select(
+        F.date_add(F.lit(date(2026, 5, 1)), day.cast("int")).alias("reading_date"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+    )
+    spark.conf.set(size, "1m")
+    try:
+        tables.overwrite_by_day(df, str(tmp_path / "t"), "reading_date")
+    finally:
+        spark.conf.set(size, before)
+    written = tables.read(spark, str(tmp_path / "t"))
+    files_of = dict(
+        rows(written.groupBy("reading_date").agg(F.count_distinct("_metadata.file_path")))
+    )
+    assert written.count() == 300_000
+    assert files_of.pop(date(2026, 5, 1)) >= 3
+    # A file per task and day would be 16 each. A day hashed to the large day's partition
+    # is split along with it.
+    assert sum(files_of.values()) < 2 * len(files_of)
