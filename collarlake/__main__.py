@@ -1,6 +1,6 @@
-"""Run steps of the chain, for spark-submit:
+"""Run steps of the chain:
 
-    spark-submit ... -m collarlake --root s3://lake --landing s3://landing --registry s3://reg
+    python -m collarlake --root s3://lake --landing s3://landing --registry s3://registry
 
 Steps run in order; without --steps all of them do.
 """
