@@ -9,12 +9,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from parity import compare
-from parity.catalog import COVERED_BY
+from parity.catalog import COVERED_BY, ORACLES, QUERIES
 from tests.conftest import SF_SMALL, plan_of
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
-
 # Queries that write files first.
 WRITING = {name for name, q in QUERIES.items() if q.__module__ == "parity.files"}
 
@@ -39,6 +36,8 @@ def test_plan(spark, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_every_operator_of_the_inventory_is_covered():
