@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collarlake.llm import linededup, mixing, sharding
+from collarlake.llm import bpe, linededup, mixing, neardup, sharding
 from collarlake.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,26 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer(name: str) -> str:
+    """Where the public tokenizer files are installed, on every machine alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_bpe")
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, path, keep_text=False)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query(
     "op2_line_dedup",
     """
@@ -58,6 +78,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return after.select("doc_id", "n_lines", "n_removed", "text")
 
 
+@query("op3_near_dedup")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.grouped(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_sharding")
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
