@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collarlake.llm import bpe, linededup, mixing, neardup, sharding
-from collarlake.llm.tables import read
+from collarlake.llm import bpe, linededup, mixing, neardup, quality, sharding, tokencounts
+from collarlake.llm.tables import Saved, read
+from collarlake.workspace import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +103,26 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucket(divisor: int) -> Column:
+    """The remainder by which rows are kept from learning."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    saved = Saved(spark, "quality")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    x = saved.write(quality.featurised(docs), "features")
+    model = quality.fit(x, quality.trusted(labels, bucket(4) != 2), saved)
+    return quality.scored(x, model).select(
+        "doc_id",
+        F.coalesce(bucket(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -112,3 +133,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__target").alias("target"),
         (F.col("__size") * F.col("__copies")).alias("taken"),
     )
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text"
+    )
+    cache = scratch_dir(spark, "token-counts")
+    return tokencounts.counted(docs, tokenizer("word_bpe_49k.json"), cache).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit")
+    )
