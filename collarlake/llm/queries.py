@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collarlake.llm import bpe, linededup, mixing, neardup, quality, sharding, tokencounts
+from collarlake.llm import (
+    balltree,
+    bpe,
+    graph,
+    linededup,
+    lm,
+    mixing,
+    neardup,
+    quality,
+    sharding,
+    tokencounts,
+)
 from collarlake.llm.tables import Saved, read
 from collarlake.workspace import scratch_dir
 
@@ -123,6 +134,54 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op6_top_k",
+    """
+    with points as (
+        select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as v
+        from embeddings
+        where len(embedding) > 0
+          and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+    scored as (
+        select q.vec_id as query_id, p.vec_id,
+               cast(list_sum([q.v[i] * p.v[i] for i in range(1, len(q.v) + 1)]) as bigint) as score
+        from points q join points p on q.vec_id <> p.vec_id and len(q.v) = len(p.v)
+        where q.vec_id % 50 = 0)
+    select query_id,
+           cast(row_number() over (partition by query_id order by score desc, vec_id) as integer)
+               as rank,
+           vec_id, score
+    from scored
+    qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+    """,
+)
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return balltree.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+@query("op7_lm")
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(bucket(5) == 1, F.lit(False))
+    model = lm.train(docs.where(~held_out), scratch_dir(spark, "language-model"))
+    return lm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+@query("op8_nearest")
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graph.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 @query("op9_mixing")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
