@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collarlake.llm.tables import Saved, importable
@@ -269,9 +269,8 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     The component is the least doc_id of the document's group; ``kept`` marks that
     document. Texts without words, null ones included, are groups of their own. Rows that
-    repeat a doc_id are one document: links of each of their texts count for all. A null
-    doc_id takes the group of documents with an equal set and an id, if there are any;
-    without such it stays, with a null component.
+    repeat a doc_id are one document: links of each of their texts count for all. A row
+    without a doc_id is linked with nothing: its component is null, and it is kept.
     """
     spark = docs.sparkSession
     saved = Saved(spark, "near")
@@ -365,7 +364,24 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
     saved.drop([classes, buckets, members, centers, links, first, placed, apart, dealt, more, second])
     out = rows.select("doc_id", "n_shingles", "hi", "lo").join(found, ["hi", "lo"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    component = F.when(linked, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group, that with the least doc_id, and all columns.
+
+    Rows that repeat a doc_id are one document, of which the row with the least text hash
+    stays. Rows without a doc_id are linked with nothing and stay.
+    """
+    spark = docs.sparkSession
+    saved = Saved(spark, "near-dedup")
+    found = saved.write(grouped(docs.select("doc_id", "text")), "groups")
+    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
+    by_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    named = docs.where("doc_id is not null").withColumn("__nth", F.row_number().over(by_id))
+    named = named.where("__nth = 1").join(kept, "doc_id", "left_semi")
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
