@@ -14,15 +14,22 @@ are linked, and linked documents form groups.
    of copies are counted here, with a partial step, and never meet as rows again.
 3. Bands of the signature are the keys of buckets. With 40 bands of 5 a link of similarity
    0.75 is missed with probability 2e-5, and a closer one hardly ever.
-4. Each bucket's members are compared with the member that lies in the most and largest
-   buckets. Links are verified on full sets.
+4. The members of a bucket are compared, on full sets, with its center, the member that
+   lies in the most and largest buckets. All that are compared with a center are its family.
 5. Groups are found by union-find over all tasks: trees are hooked to the least neighbour
    and compressed by pointer jumping.
-6. Members of one bucket that are still in different groups are compared in blocks by
-   their signatures; pairs that can be linked (an estimate of 0.5 or more, which a link
-   misses with probability below 1e-9) are verified, and the groups found again. So no
-   link within a bucket is left out, and a bucket of near copies does not produce all of
-   its pairs.
+6. Two members x, y of a family may be linked although x, a stray, is not linked to the
+   center c. They share at most min(|x n c|, |y n c|) elements of c. Where that is too
+   little for a link they must share an element outside of c, and one of the least such
+   elements (a prefix, since not all of those that they need can be missed). Members that
+   share one are candidates; pairs for which the shared part of c could be enough, by
+   their sizes, are candidates as well. Where few members share an element, their pairs
+   are compared. Where many do, the strays of the family are compared with its other
+   candidates in blocks, each of which holds a bounded number of full sets and gives only
+   the links that it finds.
+
+So no link between members of a bucket is left out, while a bucket of near copies gives one
+comparison per member and not one per pair.
 
 Intermediate tables are written to the shared folder. Nothing is collected.
 """
@@ -45,8 +52,9 @@ COMPONENTS = 200
 BANDS = 40
 ROWS = COMPONENTS // BANDS
 ELEMENTS = 8192
-BLOCK = 256
-POSSIBLE = 0.5
+SMALL = 32  # members that share an element and are compared with each other
+BLOCK = 256  # sets of each side of a block
+SIZE_STEP = 1.02  # sizes are looked up in classes that grow by this factor
 
 _PARTS = randoms(3 << 40, 1, SHINGLE + 1) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -104,28 +112,20 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
-def short_signature(signature: np.ndarray) -> bytes:
-    """A byte per component: equal where the components are, else in one of 256 cases."""
-    return (mix(signature.view(np.uint64)) >> np.uint64(56)).astype(np.uint8).tobytes()
-
-
-_SIGNED = "doc_id long, n_shingles long, hi long, lo long, bands array<long>, short binary"
+_SIGNED = "doc_id long, n_shingles long, hi long, lo long, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, his, los, keys, shorts = [], [], [], [], []
+        sizes, his, los, keys = [], [], [], []
         for elements in shingle_sets(batch.column("text")):
             sizes.append(len(elements))
             spread = mix(elements + _STEP)
             his.append(elements.sum(dtype=np.uint64))
             los.append(spread.sum(dtype=np.uint64))
             if len(elements):
-                signature = super_min_hash(elements)
-                keys.append(band_keys(signature))
-                shorts.append(short_signature(signature))
+                keys.append(band_keys(super_min_hash(elements)))
             else:
-                shorts.append(None)
                 keys.append(np.zeros(0, np.uint64))
         ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
         flat = np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
@@ -137,86 +137,207 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 as_long(his),
                 as_long(los),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                pa.array(shorts, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "hi", "lo", "bands", "short"],
+            names=["doc_id", "n_shingles", "hi", "lo", "bands"],
         )
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, hi, lo, bands, short) of every document. The set hash (hi, lo)
+    """(doc_id, n_shingles, hi, lo, bands) of every document. The set hash (hi, lo)
     is equal for equal sets. A text without words has an empty set and no bands."""
     importable(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_sign, _SIGNED)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document and target the full set, as bytes of sorted 64-bit numbers. Rows that
-    share a representative's id but not its set are left out."""
+    """Per document the full set, as bytes of sorted 64-bit numbers. Rows that share a
+    representative's id but not its set are left out."""
     for batch in batches:
-        ids, targets, sets = [], [], []
-        columns = [batch.column(c).to_pylist() for c in ("doc_id", "hi", "lo", "targets")]
-        found = shingle_sets(batch.column("text"))
-        for doc_id, hi, lo, to, elements in zip(*columns, found, strict=True):
+        ids, sets = [], []
+        columns = [batch.column(c).to_pylist() for c in ("doc_id", "hi", "lo")]
+        for doc_id, hi, lo, elements in zip(*columns, shingle_sets(batch.column("text")), strict=True):
             sums = np.array([elements.sum(dtype=np.uint64), mix(elements + _STEP).sum(dtype=np.uint64)])
             if sums.view(np.int64).tolist() == [hi, lo]:
-                ids += [doc_id] * len(to)
-                targets += to
-                sets += [elements.tobytes()] * len(to)
+                ids.append(doc_id)
+                sets.append(elements.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(targets, pa.int64()), pa.array(sets, pa.binary())],
-            names=["id", "target", "elements"],
+            [pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "elements"]
         )
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (u, v, a, b) with full sets a and b, those that are linked."""
+_COMPARED = "u long, v long, linked boolean, shared long, size long, other long, prefix array<long>"
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v) with full sets a and b: whether they are linked, how much they share,
+    their sizes, and the least elements of a outside of b, as many as a link of u with
+    another document of v's family needs to meet."""
     for batch in batches:
-        linked = []
+        linked, shared, sizes, others, prefixes = [], [], [], [], []
         for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
             x = np.frombuffer(a.as_buffer(), np.uint64)
             y = np.frombuffer(b.as_buffer(), np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
             at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+            in_y = y[np.minimum(at, len(y) - 1)] == x
+            both = int(in_y.sum())
             linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
+            shared.append(both)
+            sizes.append(len(x))
+            others.append(len(y))
+            # A link shares at least PERCENT of x, at most ``both`` of that with the center.
+            outside = max(1, -(-PERCENT * len(x) // 100) - both)
+            prefixes.append(x[~in_y][: max(0, len(x) - both - outside + 1)].view(np.int64))
+        ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+        flat = np.concatenate([*prefixes, np.zeros(0, np.int64)])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("u"),
+                batch.column("v"),
+                pa.array(linked, pa.bool_()),
+                *(pa.array(c, pa.int64()) for c in (shared, sizes, others)),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+            ],
+            names=["u", "v", "linked", "shared", "size", "other", "prefix"],
+        )
 
 
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (u, v, a, b) with short signatures a and b, those that may be linked."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COMPONENTS)
-            for c in ("a", "b")
-        )
-        enough = (a == b).sum(axis=1) >= POSSIBLE * COMPONENTS
-        yield batch.select(["u", "v"]).filter(pa.array(enough, pa.bool_()))
+def full_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, elements) of the classes in ``ids`` (id), one row each, from the texts."""
+    wanted = ids.join(classes.select("id", "hi", "lo"), "id")
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id"))
+    return texts.select("doc_id", "text", "hi", "lo").mapInArrow(_sets, "id long, elements binary")
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """What ``_compare`` says of ``pairs`` (u, v)."""
+    a = sets.select(F.col("id").alias("u"), F.col("elements").alias("a"))
+    b = sets.select(F.col("id").alias("v"), F.col("elements").alias("b"))
+    both = pairs.join(a, "u").join(b, "v")
+    return both.select("u", "v", "a", "b").mapInArrow(_compare, _COMPARED)
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, saved: Saved) -> DataFrame:
-    """Those of ``pairs`` (u, v) of class ids whose full sets are similar enough."""
-    wanted = pairs.select(F.col("u").alias("id"), F.col("v").alias("target")).unionByName(
-        pairs.select(F.col("v").alias("id"), F.col("v").alias("target"))
+def families(buckets: DataFrame, saved: Saved) -> DataFrame:
+    """(u, v): each member of a bucket (key, size, id) with the bucket's center."""
+    weight = buckets.groupBy("id").agg(F.sum("size").alias("weight"))
+    rank = F.struct("weight", (-F.col("id")).alias("minus"), "id")
+    centers = buckets.join(weight, "id").groupBy("key").agg(F.max(rank).alias("center"))
+    centers = saved.write(centers.select("key", F.col("center.id").alias("v")), "centers")
+    pairs = buckets.join(centers, "key").where("id <> v")
+    return pairs.select(F.col("id").alias("u"), "v").distinct()
+
+
+def inner_buckets(family: DataFrame, groups: DataFrame, saved: Saved) -> DataFrame:
+    """(key, size, v, id, linked, component): members of a family that share an element of
+    their prefixes, where they are in different groups."""
+    apart = saved.write(family.where("not linked").select("v").distinct(), "apart")
+    members = family.join(apart, "v").select(
+        "v", F.col("u").alias("id"), "linked", F.explode("prefix").alias("element")
     )
-    wanted = wanted.groupBy("id").agg(F.collect_set("target").alias("targets"))
-    wanted = saved.write(wanted.join(classes.select("id", "hi", "lo"), "id"), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id"))
-    sets = texts.select("doc_id", "text", "hi", "lo", "targets").mapInArrow(
-        _sets, "id long, target long, elements binary"
+    members = members.withColumn("key", F.xxhash64("v", "element")).drop("element")
+    placed = members.join(groups, "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
     )
-    sets = saved.write(sets, "sets")
-    centers = sets.where("id = target").select(F.col("id").alias("v"), F.col("elements").alias("b"))
-    others = sets.where("id <> target").select(
-        F.col("id").alias("u"), F.col("target").alias("v"), F.col("elements").alias("a")
+    placed = saved.write(placed, "placed")
+    mixed = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+    )
+    mixed = saved.write(mixed.where("low < high").select("key", "size"), "mixed")
+    return placed.join(mixed, "key")
+
+
+def small_pairs(buckets: DataFrame) -> DataFrame:
+    """(u, v): members of different groups in the same bucket of SMALL members at most."""
+    small = buckets.where(F.col("size") <= SMALL)
+    one = small.select("key", F.col("id").alias("u"), F.col("component").alias("cu"))
+    two = small.select("key", F.col("id").alias("v"), F.col("component").alias("cv"))
+    pairs = one.join(two, "key").where("u < v and cu <> cv")
+    return pairs.select("u", "v").distinct()
+
+
+def _block_links(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between strays and members of different groups in one block."""
+    stray = table.column("stray").to_numpy()
+    ids = table.column("id").to_numpy()
+    component = table.column("component").to_numpy()
+    sets = [np.frombuffer(e.as_buffer(), np.uint64) for e in table.column("elements")]
+    members = np.flatnonzero(~stray)
+    u, v = [], []
+    if len(members):
+        sizes = np.array([len(sets[m]) for m in members])
+        elements = np.concatenate([sets[m] for m in members])
+        order = np.argsort(elements)
+        elements, owner = elements[order], np.repeat(np.arange(len(members)), sizes)[order]
+        for x in np.flatnonzero(stray):
+            low = np.searchsorted(elements, sets[x], "left")
+            count = np.searchsorted(elements, sets[x], "right") - low
+            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            both = np.bincount(owner[at], minlength=len(members))
+            linked = 100 * both >= PERCENT * (sizes + len(sets[x]) - both)
+            for m in members[linked & (component[members] != component[x])]:
+                u.append(ids[x])
+                v.append(ids[m])
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def block_links(buckets: DataFrame, sets: DataFrame, saved: Saved) -> DataFrame:
+    """(u, v): links of the strays in buckets of more than SMALL members with the members
+    of the same family in such buckets."""
+    active = buckets.where(F.col("size") > SMALL)
+    active = active.groupBy("v", "id").agg(
+        F.max("component").alias("component"), F.min("linked").alias("linked")
+    )
+    active = saved.write(active, "active")
+    number = lambda rows: F.ceil(rows / BLOCK).cast("int")
+    counts = active.groupBy("v").agg(
+        number(F.count(F.when(~F.col("linked"), 1))).alias("strays"),
+        number(F.count(F.lit(1))).alias("members"),
+    )
+    counts = saved.write(counts, "counts")
+    dealt = active.join(counts, "v").join(sets, "id")
+    own = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    columns = ["v", "i", "j", "stray", "id", "component", "elements"]
+    strays = dealt.where(~F.col("linked")).withColumn("i", own("strays")).withColumn("j", every("members"))
+    members = dealt.where("strays > 0").withColumn("j", own("members")).withColumn("i", every("strays"))
+    rows = strays.withColumn("stray", F.lit(True)).select(*columns).unionByName(
+        members.withColumn("stray", F.lit(False)).select(*columns)
+    )
+    return rows.groupBy("v", "i", "j").applyInArrow(_block_links, "u long, v long")
+
+
+def direct_pairs(family: DataFrame, groups: DataFrame) -> DataFrame:
+    """(u, v): members of one family, at least one of them not linked to the center, of
+    which what they share with the center could be enough for a link.
+
+    That takes a partner smaller than the center: x reaches partners of up to
+    floor(175 |x n c| / 75) - |x| elements, and of no less than PERCENT of its own. They
+    are met by the class of their size.
+    """
+    in_class = lambda size: F.floor(F.log(size.cast("double")) / F.lit(float(np.log(SIZE_STEP)))).cast("int")
+    reach = F.floor(F.col("shared") * (100 + PERCENT) / PERCENT) - F.col("size")
+    sized = family.select("v", "u", "linked", "size", "other", reach.cast("long").alias("reach"))
+    sized = sized.join(groups.withColumnRenamed("id", "u"), "u", "left").withColumn(
+        "component", F.coalesce("component", "u")
+    )
+    least = F.ceil(F.col("size") * PERCENT / 100).cast("long")
+    most = F.least("reach", F.col("other") - 1)
+    x = (
+        sized.where(~F.col("linked") & (least <= most))
+        .withColumn("class", F.explode(F.sequence(in_class(least) - 1, in_class(most) + 1)))
+        .select("v", "class", F.struct("u", "size", "reach", "component").alias("x"))
+    )
+    y = sized.where("size < other").select(
+        "v", in_class(F.col("size")).alias("class"), F.struct("u", "size", "reach", "component").alias("y")
+    )
+    return (
+        x.join(y, ["v", "class"])
+        .where(
+            "y.size <= x.reach and x.size <= y.reach and x.component <> y.component"
+            f" and 100 * least(x.size, y.size) >= {PERCENT} * greatest(x.size, y.size)"
+        )
+        .select(F.least("x.u", "y.u").alias("u"), F.greatest("x.u", "y.u").alias("v"))
+        .distinct()
     )
-    both = others.join(centers, "v").select("u", "v", "a", "b")
-    links = saved.write(both.mapInArrow(_similar, "u long, v long"), "links")
-    saved.drop([sets, wanted])
-    return links
 
 
 def components(links: DataFrame, saved: Saved) -> DataFrame:
@@ -281,88 +402,31 @@ def grouped(docs: DataFrame) -> DataFrame:
         .agg(
             F.min("doc_id").alias("id"),
             F.first("bands").alias("bands"),
-            F.first("short").alias("short"),
         ),
         "classes",
     )
     keyed = classes.select("id", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    buckets = saved.write(buckets, "buckets")
-    members = saved.write(keyed.join(buckets, "key"), "members")
-
-    # Each member and the center of its buckets: the member of the most and largest ones.
-    weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
-    weighed = members.join(weight, "id")
-    rank = F.struct("weight", (-F.col("id")).alias("minus"), "id")
-    centers = saved.write(
-        weighed.groupBy("key").agg(F.max(rank).alias("center")), "centers"
-    )
-    pairs = (
-        members.join(centers, "key")
-        .groupBy(F.col("id").alias("u"))
-        .agg(F.max("center").alias("c"))
-        .select("u", F.col("c.id").alias("v"))
-        .where("u <> v")
-    )
-    links = verified(docs, classes, saved.write(pairs, "pairs"), saved)
-    first = components(links, saved)
-
-    # Members of a bucket that are still apart, unless their signatures rule a link out.
-    of = F.coalesce("component", "id").alias("component")
-    placed = members.join(first, "id", "left").select("key", "size", "id", of)
-    placed = saved.write(placed, "placed")
-    apart = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    apart = saved.write(apart.where("low < high").select("key"), "apart")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = (
-        placed.join(apart, "key")
-        .join(classes.select("id", "short"), "id")
-        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "key",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "id",
-            "component",
-            "short",
-        )
-    )
-    dealt = saved.write(dealt, "dealt")
-    one = dealt.select("key", "i", "j", F.col("id").alias("u"), F.col("component").alias("cu"), F.col("short").alias("a"))
-    two = dealt.select("key", "i", "j", F.col("id").alias("v"), F.col("component").alias("cv"), F.col("short").alias("b"))
-    across = (
-        one.join(two, ["key", "i", "j"])
-        .where("u < v and cu <> cv")
-        .select("u", "v", "a", "b")
-        .mapInArrow(_possible, "u long, v long")
-        .distinct()
-    )
-    more = verified(docs, classes, saved.write(across, "across"), saved)
-    name = lambda side: first.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
-    between = (
-        more.join(name("u"), "u", "left")
-        .join(name("v"), "v", "left")
-        .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
-    )
-    second = components(between, saved)
-    # An id is in a group of the first search, which the second may have merged with others;
-    # or it is new to the second.
-    again = second.select(F.col("id").alias("component"), F.col("component").alias("least"))
-    merged = first.join(again, "component", "left").select(
-        "id", F.coalesce("least", "component").alias("group")
-    )
-    new = second.select("id", F.col("component").alias("group"))
-    groups = merged.unionByName(new).groupBy("id").agg(F.min("group").alias("group"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = saved.write(sizes, "sizes")
+    buckets = saved.write(keyed.join(sizes, "key").select("key", "size", "id"), "buckets")
+    sets = saved.write(full_sets(docs, classes, buckets.select("id").distinct()), "sets")
+    pairs = saved.write(families(buckets, saved), "pairs")
+    family = saved.write(compared(pairs, sets), "family")
+    links = saved.write(family.where("linked").select("u", "v"), "links")
+    groups = components(links, saved)
+    inner = saved.write(inner_buckets(family, groups, saved), "inner")
+    pairs = direct_pairs(family, groups).unionByName(small_pairs(inner)).distinct()
+    more = compared(saved.write(pairs, "pairs"), sets).where("linked").select("u", "v")
+    more = saved.write(more.unionByName(block_links(inner, sets, saved)), "more")
+    if not more.isEmpty():
+        groups = components(links.unionByName(more), saved)
     found = saved.write(
         classes.select("hi", "lo", "id")
         .join(groups, "id", "left")
-        .select("hi", "lo", F.coalesce("group", "id").alias("component_id")),
+        .select("hi", "lo", F.coalesce("component", "id").alias("component_id")),
         "found",
     )
-    saved.drop([classes, buckets, members, centers, links, first, placed, apart, dealt, more, second])
+    saved.keep([rows, found])
     out = rows.select("doc_id", "n_shingles", "hi", "lo").join(found, ["hi", "lo"], "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     component = F.when(linked, F.col("component_id")).otherwise(F.col("doc_id"))

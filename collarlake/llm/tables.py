@@ -29,12 +29,13 @@ def importable(spark: SparkSession) -> None:
 
 class Saved:
     """Tables that one job writes to the shared folder, so that no later step depends on
-    what a lost executor held. ``drop`` removes those that nothing reads any more."""
+    what a lost executor held."""
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = scratch_dir(spark, label)
         self.count = 0
+        self.paths: list[str] = []
 
     def path(self, name: str) -> str:
         self.count += 1
@@ -43,14 +44,24 @@ class Saved:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
+        self.paths.append(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._saved_at = path
         return saved
 
     def drop(self, tables: Iterable[DataFrame]) -> None:
+        """Delete tables that nothing reads any more."""
         for table in tables:
+            self.paths.remove(table._saved_at)
             remove(self.spark, table._saved_at)
 
+    def keep(self, tables: Iterable[DataFrame]) -> None:
+        """Delete all tables but these."""
+        kept = {table._saved_at for table in tables}
+        for path in [p for p in self.paths if p not in kept]:
+            self.paths.remove(path)
+            remove(self.spark, path)
+
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of our own, by whatever file system it is in."""
