@@ -38,8 +38,9 @@ PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 # Below this code point the classes of the two regular expression engines agree.
 AGREED = 0x250
-STRETCH = 1 << 22
-REMEMBERED = 400_000
+STRETCH = 1 << 21
+REMEMBERED = 150_000
+PAIRS = 500_000
 SCRIPT_RANGE = regex.compile(rf"[^\x00-\u{AGREED - 1:04x}]")
 
 
@@ -49,18 +50,28 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in PRINTED} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def loaded(path: str) -> tuple[dict, dict[int, bytes], dict[str, int]]:
+    """The model of a tokenizer file, the bytes of its tokens, and its special tokens."""
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    as_byte = byte_of_character()
+    tokens = {i: bytes(as_byte[c] for c in t) for t, i in data["model"]["vocab"].items()}
+    return data["model"], tokens, {t["content"]: t["id"] for t in data["added_tokens"]}
+
+
+@lru_cache(maxsize=4)
+def texts_of(path: str) -> list[bytes]:
+    """The bytes of each token by id, all that decoding needs."""
+    _, tokens, special = loaded(path)
+    tokens |= {i: t.encode() for t, i in special.items()}
+    return [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+
+
 class Vocabulary:
     """Tokens, how they split, and which pairs of them may stand side by side."""
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            data = json.load(file)
-        as_byte = byte_of_character()
-        model = data["model"]
-        raw = {token: bytes(as_byte[c] for c in token) for token in model["vocab"]}
-        self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.bytes_of = {i: raw[token] for token, i in model["vocab"].items()}
-        self.text_of = self.bytes_of | {i: t.encode() for t, i in self.special.items()}
+        model, self.bytes_of, self.special = loaded(path)
         self.rank: dict[tuple[int, int], int] = {}
         self.made: dict[int, int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
@@ -142,7 +153,7 @@ class Vocabulary:
     def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Token ids of each word, as little-endian 32-bit numbers."""
         step, back, ends, apart = self.step, self.back, self.ends, self.apart
-        if len(apart) > 4_000_000:
+        if len(apart) > PAIRS:
             apart.clear()
         seen = apart.get
         out = {}
@@ -294,8 +305,7 @@ def decode(
     schema, names = _with_column(df, text, T.StringType(), None if keep_ids else ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path).text_of
-        table = [known.get(i, b"") for i in range(max(known) + 1)]
+        table = texts_of(path)
         for batch in batches:
             found = []
             for value in batch.column(ids):
