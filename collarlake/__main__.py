@@ -28,6 +28,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="collarlake", description="Build the lake's tables.")
     for name in ("root", "landing", "registry"):
         parser.add_argument(f"--{name}", required=True)
+    parser.add_argument("--archive", help="folder that ingested files are moved to")
     parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
     parser.add_argument("--days", nargs="+", type=_day, help=f"rebuild only these, or {UNDATED}")
     parser.add_argument("--as-of", type=date.fromisoformat, help="day ages refer to")
@@ -38,7 +39,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parse(arguments)
     spark = build_session()
-    place = lake.Lake(args.root, args.landing, args.registry)
+    place = lake.Lake(args.root, args.landing, args.registry, args.archive)
     jobs = {
         "bronze": lambda: lake.build_bronze(spark, place, args.max_files_per_batch),
         "silver": lambda: lake.build_silver(spark, place, args.days),

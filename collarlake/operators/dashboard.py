@@ -120,8 +120,10 @@ def detail_table(mart: DataFrame) -> DataFrame:
 
 
 def cat_profiles(mart: DataFrame) -> DataFrame:
-    """One row of profile columns per cat."""
-    return mart.select(*PROFILE).dropna(subset=["cat_id"]).dropDuplicates(["cat_id"])
+    """One row of profile columns per cat: those of its last day, since days that were built
+    at different times may hold different ages and weights."""
+    last = F.max_by(F.struct(*PROFILE), F.struct("reading_date", "daily_summary_id"))
+    return mart.dropna(subset=["cat_id"]).groupBy("cat_id").agg(last.alias("p")).select("p.*")
 
 
 def display_profiles(mart: DataFrame) -> DataFrame:

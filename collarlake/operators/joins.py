@@ -8,49 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collarlake.sizing import estimated_bytes
-from collarlake.sources import tables
-from collarlake.workspace import scratch_dir
 
-# A key with more readings than this is spread over several join tasks. It also bounds
-# the list of such keys: at most (all readings / this number) entries, so a quarter of a
-# million short rows for 10^12 readings.
-ROWS_PER_JOIN_TASK = 4_000_000
+# Tasks that the readings of one animal are spread over where they have to be shuffled,
+# and so how often each profile is repeated. A third of 10^12 readings of one animal gives
+# tasks that adaptive execution can split further.
+SALTS = 32
 
 
 def broadcast_threshold(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def hot_keys(readings: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """Keys with more than ``rows_per_task`` readings, and the salts each needs.
-
-    The list is short, see ROWS_PER_JOIN_TASK. It is written to the shared folder: the
-    readings are then counted once though both sides of the join use the list, and
-    Catalyst knows its true size when it decides whether to broadcast it.
-    """
-    counts = readings.dropna(subset=[key]).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    salts = F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts")
-    path = scratch_dir(readings.sparkSession, "hot-keys")
-    tables.overwrite(counts.filter(F.col("_rows") > rows_per_task).select(key, salts), path)
-    return tables.read(readings.sparkSession, path)
-
-
 def salted(
-    readings: DataFrame, profiles: DataFrame, key: str, spread_by: Sequence[str], hot: DataFrame
+    readings: DataFrame, profiles: DataFrame, spread_by: Sequence[str], salts: int = SALTS
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a column ``_salt``. ``hot`` holds hot keys and their number of salts.
+    """Both sides with a column ``_salt``: one of ``salts`` per reading, all per profile.
 
     A reading's salt is a hash of its own columns, so a task that runs again after a
     lost executor gives the same salts.
     """
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = readings.join(hot, key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")
-    )
-    right = profiles.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    return left.drop("_salts"), right.drop("_salts")
+    left = readings.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    return left, profiles.withColumn("_salt", F.explode(every))
 
 
 def join_profiles(
@@ -59,27 +38,20 @@ def join_profiles(
     *,
     key: str = "cat_id",
     spread_by: Sequence[str],
-    counted_from: DataFrame | None = None,
-    rows_per_task: int = ROWS_PER_JOIN_TASK,
+    salts: int = SALTS,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
-    """Inner join on ``key``, one key column out, safe against hot keys.
+    """Inner join on ``key``, one key column out, safe against hot keys. Lazy: no job runs.
 
     While ``profiles`` is below ``broadcast_limit`` bytes, by default the session's
     broadcast threshold, this is a plain join and Catalyst broadcasts it: readings are
     not shuffled. Above it the readings must be shuffled by key, and one animal may
-    hold a large part of them. Then each hot key gets as many salts as its row count
-    needs. Its readings are spread over the salts by a hash of ``spread_by``, and only
-    the profiles of such keys are repeated, once per salt. Other keys have one salt.
-
-    ``counted_from`` may name a cheaper table that holds at least the same readings,
-    for counting rows per key without running the plan of ``readings`` twice.
+    hold a large part of them. So the readings of every animal are spread over ``salts``
+    by a hash of ``spread_by``, in the only shuffle that they go through, and profiles,
+    which are few beside the readings, are repeated once per salt.
     """
     limit = broadcast_threshold(profiles) if broadcast_limit is None else broadcast_limit
     if estimated_bytes(profiles) <= limit:
         return readings.join(profiles, key, "inner")
-    hot = hot_keys(readings if counted_from is None else counted_from, key, rows_per_task)
-    if hot.isEmpty():
-        return readings.join(profiles, key, "inner")
-    left, right = salted(readings, profiles, key, spread_by, hot)
+    left, right = salted(readings, profiles, spread_by, salts)
     return left.join(right, [key, "_salt"], "inner").drop("_salt")

@@ -10,27 +10,33 @@ from __future__ import annotations
 from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from collarlake.operators import quality
 from collarlake.plans import models
-from collarlake.plans.silver import readings_on, silver
+from collarlake.plans.silver import clean, silver
+from collarlake.schemas import BRONZE, STAGING_REGISTRY, STAGING_TELEMETRY, all_text
 from collarlake.sizing import sized_for
 from collarlake.sources import tables
 from collarlake.sources.registry import load_registry, read_registry_csv
-from collarlake.sources.telemetry import load_telemetry, read_bronze
+from collarlake.sources.telemetry import load_telemetry, read_bronze, split_load
 from collarlake.streaming.bronze import ingest
 
 
 @dataclass(frozen=True)
 class Lake:
     """Where the tables are. ``landing`` and ``registry`` are inputs, the rest is written
-    below ``root``."""
+    below ``root``. Ingested files are moved to ``archive``, if there is one, which keeps
+    the landing folder and the list of known files short."""
 
     root: str
     landing: str
     registry: str
+    archive: str | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -59,14 +65,49 @@ def _many(days: Days) -> bool:
     return days is None or len(days) > 1
 
 
+@lru_cache(maxsize=1)
+def schemas(spark: SparkSession) -> dict[str, StructType]:
+    """The schema of every written table, which an empty one has no file to tell."""
+
+    def empty(schema: StructType) -> DataFrame:
+        return spark.createDataFrame([], schema)
+
+    rows = silver(empty(BRONZE), empty(all_text(STAGING_REGISTRY)))
+    readings = models.stg_telemetry(empty(STAGING_TELEMETRY))
+    cats = models.dim_cats(models.stg_registry(empty(STAGING_REGISTRY)))
+    health = models.daily_health(models.daily_telemetry(readings))
+    found = {
+        "silver": rows,
+        "staging_telemetry": empty(STAGING_TELEMETRY),
+        "rejected_telemetry": split_load(rows).rejected,
+        "staging_registry": empty(STAGING_REGISTRY),
+        "dim_cats": cats,
+        "fact_readings": models.fact_readings(readings),
+        "daily_health": health,
+        "bi_flat": models.bi_flat(health, cats),
+    }
+    whole = {"staging_registry", "dim_cats"}
+    return {
+        name: df.schema if name in whole else df.withColumn(DAY, F.lit(None).cast("date")).schema
+        for name, df in found.items()
+    }
+
+
+def read(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    return tables.read(spark, lake.path(table), schemas(spark)[table])
+
+
 def build_bronze(spark: SparkSession, lake: Lake, max_files_per_batch: int | None = None) -> None:
+    tables.ensure(spark, lake.landing)
     ingest(
         spark,
         lake.landing,
         lake.path("bronze"),
         lake.path("checkpoints/bronze"),
         max_files_per_batch,
+        lake.archive,
     )
+    tables.ensure(spark, lake.path("bronze"))
 
 
 def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
@@ -75,15 +116,13 @@ def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     Duplicates of a reading have the same time, so a day can be rebuilt on its own. So
     can the readings without a valid time, which are in no day.
     """
-    bronze = read_bronze(spark, lake.path("bronze"))
+    bronze = read_bronze(spark, lake.path("bronze"), days)
     with sized_for(bronze):
-        if days is not None:
-            bronze = readings_on(bronze, days)
         tables.overwrite_by_day(
             silver(bronze, read_registry_csv(spark, lake.registry)),
             lake.path("silver"),
             "cast(parsed_reading_time as date)",
-            only_days_present=days is not None,
+            days=days,
             rebalance=_many(days),
         )
 
@@ -91,25 +130,29 @@ def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
 def build_staging(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     """Load silver and the registry into the typed staging tables.
 
-    Rows that do not fit go to rejected_telemetry, which holds those of the last load.
+    Rows that do not fit go to rejected_telemetry, by day like the others.
     """
     counts = Observation()
-    load = load_telemetry(spark, lake.path("silver"), days, counts)
+    schema = schemas(spark)["silver"]
+    load = load_telemetry(spark, lake.path("silver"), days, counts, schema=schema)
+    with sized_for(load.loaded):
+        tables.overwrite_by_day(
+            load.loaded, lake.path("staging_telemetry"), DAY_OF_READING, days=days, rebalance=False
+        )
+    rejected = load.rejected if counts.get["rejected"] else load.rejected.limit(0)
     tables.overwrite_by_day(
-        load.loaded,
-        lake.path("staging_telemetry"),
-        DAY_OF_READING,
-        only_days_present=days is not None,
+        rejected,
+        lake.path("rejected_telemetry"),
+        "try_cast(reading_time as date)",
+        days=days,
         rebalance=False,
     )
-    rejected = load.rejected if counts.get["rejected"] else load.rejected.limit(0)
-    tables.overwrite(rejected, lake.path("rejected_telemetry"))
     tables.overwrite(load_registry(spark, lake.registry), lake.path("staging_registry"))
 
 
 def staged_readings(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     """The staging model of readings. A view: nothing is written."""
-    staging = tables.read(spark, lake.path("staging_telemetry"))
+    staging = read(spark, lake, "staging_telemetry")
     return models.stg_telemetry(tables.on_days(staging, days))
 
 
@@ -120,8 +163,7 @@ def build_marts(
 
     Staging and the daily summary are views inside these plans; the marts are tables.
     """
-    part = days is not None
-    registry = models.stg_registry(tables.read(spark, lake.path("staging_registry")))
+    registry = models.stg_registry(read(spark, lake, "staging_registry"))
     tables.overwrite(models.dim_cats(registry, as_of), lake.path("dim_cats"))
 
     readings = staged_readings(spark, lake, days)
@@ -130,34 +172,35 @@ def build_marts(
             models.fact_readings(readings),
             lake.path("fact_readings"),
             DAY_OF_READING,
-            only_days_present=part,
+            days=days,
             rebalance=False,
         )
         tables.overwrite_by_day(
             models.daily_health(models.daily_telemetry(readings)),
             lake.path("daily_health"),
             DAY,
-            only_days_present=part,
+            days=days,
             rebalance=_many(days),
         )
-    health = tables.on_days(tables.read(spark, lake.path("daily_health")), days)
-    cats = tables.read(spark, lake.path("dim_cats"))
+    health = tables.on_days(read(spark, lake, "daily_health"), days)
+    cats = read(spark, lake, "dim_cats")
     with sized_for(health, cats):
         tables.overwrite_by_day(
             models.bi_flat(health, cats),
             lake.path("bi_flat"),
             DAY,
-            only_days_present=part,
+            days=days,
             rebalance=_many(days),
         )
 
 
 def register(spark: SparkSession, lake: Lake) -> None:
     """Name the written tables, and the models that are views, for use in SQL."""
-    for name in TABLES:
-        tables.read(spark, lake.path(name)).createOrReplaceTempView(name)
+    read_bronze(spark, lake.path("bronze")).createOrReplaceTempView("bronze")
+    for name in TABLES[1:]:
+        read(spark, lake, name).createOrReplaceTempView(name)
     readings = staged_readings(spark, lake)
-    registry = models.stg_registry(tables.read(spark, lake.path("staging_registry")))
+    registry = models.stg_registry(read(spark, lake, "staging_registry"))
     readings.createOrReplaceTempView("stg_telemetry")
     registry.createOrReplaceTempView("stg_registry")
     models.daily_telemetry(readings).createOrReplaceTempView("daily_telemetry")
@@ -171,23 +214,26 @@ def check(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     """
 
     def by_day(name: str) -> DataFrame:
-        return tables.on_days(tables.read(spark, lake.path(name)), days)
+        return tables.on_days(read(spark, lake, name), days)
 
-    return quality.check_report(
+    report = quality.check_report(
         {
             "staging_telemetry": by_day("staging_telemetry"),
-            "staging_registry": tables.read(spark, lake.path("staging_registry")),
+            "staging_registry": read(spark, lake, "staging_registry"),
             "stg_telemetry": staged_readings(spark, lake, days),
-            "dim_cats": tables.read(spark, lake.path("dim_cats")),
+            "dim_cats": read(spark, lake, "dim_cats"),
             "fact_readings": by_day("fact_readings"),
             "daily_health": by_day("daily_health"),
         }
     )
+    # Before duplicates are dropped: unparsed times of one collar become one row.
+    bronze = read_bronze(spark, lake.path("bronze"), days)
+    return report.unionByName(quality.warning_report(clean(bronze), by_day("daily_health")))
 
 
 def require_checks(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     """Raise if a check fails."""
-    with sized_for(tables.read(spark, lake.path("staging_telemetry"))):
+    with sized_for(read(spark, lake, "staging_telemetry")):
         quality.require_passed(check(spark, lake, days))
 
 
@@ -207,4 +253,4 @@ def run(
     build_staging(spark, lake, days)
     build_marts(spark, lake, as_of, days)
     require_checks(spark, lake, days)
-    return tables.read(spark, lake.path("bi_flat")).select(*models.BI_COLUMNS)
+    return read(spark, lake, "bi_flat").select(*models.BI_COLUMNS)

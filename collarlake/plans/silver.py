@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collarlake.functions import cleaning
-from collarlake.operators.joins import ROWS_PER_JOIN_TASK, join_profiles
+from collarlake.operators.joins import SALTS, join_profiles
 from collarlake.operators.latest import latest_row
 
 READING_KEY = ("collar_id", "parsed_reading_time")
@@ -37,15 +37,18 @@ def dedup_latest(cleaned: DataFrame) -> DataFrame:
 
 
 def silver(
-    bronze: DataFrame, registry: DataFrame, rows_per_task: int = ROWS_PER_JOIN_TASK
+    bronze: DataFrame,
+    registry: DataFrame,
+    salts: int = SALTS,
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """The silver table. Readings without a registered animal are dropped."""
     return join_profiles(
         dedup_latest(clean(bronze)),
         registry,
         spread_by=READING_KEY,
-        counted_from=bronze,
-        rows_per_task=rows_per_task,
+        salts=salts,
+        broadcast_limit=broadcast_limit,
     )
 
 

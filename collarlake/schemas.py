@@ -1,4 +1,7 @@
-"""Schemas of the raw files and of the two typed staging tables."""
+"""Schemas of the raw files and of the two typed staging tables.
+
+Fixed values: names, types and lengths are those of the files and tables to be read.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -38,6 +42,13 @@ BRONZE = StructType(
     + [StructField("ingested_at", TimestampType()), StructField("source_file", StringType())]
 )
 
+# Folders of bronze: the batch that wrote a file, and the day of its readings.
+BATCH = "ingest_batch"
+RAW_DAY = "reading_day"
+BRONZE_FILES = StructType(
+    BRONZE.fields + [StructField(RAW_DAY, DateType()), StructField(BATCH, LongType())]
+)
+
 STAGING_TELEMETRY = StructType(
     [
         _text("collar_id", 50),

@@ -8,8 +8,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PARTITION = "reading_date"
+# What Spark calls the folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -22,22 +25,26 @@ def overwrite_by_day(
     path: str,
     day: str,
     *,
-    only_days_present: bool = False,
+    days: Collection[date | None] | None = None,
     rebalance: bool = True,
 ) -> None:
     """Replace a table that has a folder per day. ``day`` is a SQL expression for it.
 
-    With ``only_days_present`` days that ``df`` has no rows of are left as they are.
+    With ``days`` only their folders are replaced, and removed where ``df`` has no rows of
+    them. They are removed first: a run that stops in between is to be run again.
 
     The rebalance step gives each day as many files of even size as its rows need: a
     day with very many rows is split, and tasks with little data are joined. It is a
     shuffle, so leave it out where ``df`` is a narrow plan over a table that already
     has a folder per day: its tasks then hold few days each, and write few files.
     """
-    rows = df.withColumn(PARTITION, F.expr(day))
+    rows = df.withColumn(PARTITION, F.expr(day).cast("date"))
     if rebalance:
         rows = rows.hint("rebalance", PARTITION)
-    mode = "dynamic" if only_days_present else "static"
+    mode = "static" if days is None else "dynamic"
+    ensure(df.sparkSession, path)
+    for one in days or ():
+        remove(df.sparkSession, f"{path}/{PARTITION}={NO_DAY if one is None else one}")
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
@@ -46,19 +53,34 @@ def overwrite_by_day(
     )
 
 
-def on_days(table: DataFrame, days: Collection[date | None] | None) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def ensure(spark: SparkSession, path: str) -> None:
+    """Make the folder of a table that may get no rows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+
+
+def on_days(
+    table: DataFrame, days: Collection[date | None] | None, column: str = PARTITION
+) -> DataFrame:
     """Rows of the given days, or all. None among the days stands for rows without a day.
 
     Other days' folders are not opened.
     """
     if days is None:
         return table
-    wanted = F.col(PARTITION).isin([day for day in days if day is not None])
-    return table.filter(wanted | F.col(PARTITION).isNull() if None in days else wanted)
+    wanted = F.col(column).isin([day for day in days if day is not None])
+    return table.filter(wanted | F.col(column).isNull() if None in days else wanted)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table. An empty one needs its ``schema``, since it has no file to tell it."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def load_audit(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

@@ -10,9 +10,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import StructField, StructType
 
-from collarlake.schemas import STAGING_TELEMETRY
+from collarlake.schemas import BRONZE, BRONZE_FILES, RAW_DAY, STAGING_TELEMETRY
 from collarlake.sources.tables import on_days
 
 # Staging column -> silver column, where the names differ.
@@ -26,9 +26,14 @@ class Load(NamedTuple):
     rejected: DataFrame
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze as a batch. Honours the stream sink's log: only committed files are read."""
-    return spark.read.parquet(path)
+def read_bronze(
+    spark: SparkSession, path: str, days: Collection[date | None] | None = None
+) -> DataFrame:
+    """Bronze as a batch, or only the given days of it; other days' folders are not opened.
+    None among the days stands for readings without a valid time."""
+    return on_days(spark.read.schema(BRONZE_FILES).parquet(path), days, RAW_DAY).select(
+        *BRONZE.names
+    )
 
 
 def _source(df: DataFrame, field: StructField) -> StructField | None:
@@ -100,13 +105,16 @@ def load_telemetry(
     days: Collection[date | None] | None = None,
     counts: Observation | None = None,
     skip_corrupt_files: bool = False,
+    schema: StructType | None = None,
 ) -> Load:
     """Load silver files. Records that do not fit do not stop the load.
 
     ``days`` limits the load to silver's folders of these days. With
     ``skip_corrupt_files`` files that cannot be read do not stop it either. Spark then
     takes any failure to read for a corrupt file, a lost connection too, and the rest of
-    that file is missing from the load; so it is off unless asked for.
+    that file is missing from the load; so it is off unless asked for. ``schema`` is that
+    of silver, which an empty table cannot tell.
     """
-    silver = spark.read.option("ignoreCorruptFiles", skip_corrupt_files).parquet(path)
+    reader = spark.read.option("ignoreCorruptFiles", skip_corrupt_files)
+    silver = (reader if schema is None else reader.schema(schema)).parquet(path)
     return split_load(with_load_audit(on_days(silver, days)), counts)

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from collarlake.schemas import RAW_TELEMETRY
+from collarlake.functions.cleaning import parse_reading_time
+from collarlake.schemas import BATCH, RAW_DAY, RAW_TELEMETRY
+
+# The source skips files that are much older than the newest one it has seen, seven days
+# by default. Late uploads keep their old times, so no file may ever count as too old.
+NEVER_TOO_OLD = "36500d"
 
 
 def read_landing(
@@ -22,7 +27,7 @@ def read_landing(
     ``max_files_per_batch`` bounds a batch after a backlog. With ``archive`` files are
     moved there once ingested, so that the landing folder stays quick to list.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", NEVER_TOO_OLD)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if archive is not None:
@@ -37,22 +42,37 @@ def with_ingest_audit(df: DataFrame) -> DataFrame:
     )
 
 
+def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """Write a micro-batch to a folder of its own, with a folder per day of the readings.
+
+    A batch that runs again after a failure replaces its folder.
+    """
+    rows = batch.withColumn(RAW_DAY, parse_reading_time(F.col("reading_time")).cast("date"))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(RAW_DAY)
+        .parquet(f"{path}/{BATCH}={batch_id}")
+    )
+
+
 def start_bronze(
     bronze: DataFrame, path: str, checkpoint: str, *, continuous: bool = False
 ) -> StreamingQuery:
     """Append a stream to bronze. Without ``continuous`` it ends when all files are read.
 
-    The checkpoint holds which files were read, the sink's log which files were
-    written, so a restart after a failure neither loses nor repeats a file.
+    The checkpoint holds which files were read and which batch they are in, and a batch
+    replaces itself, so a restart after a failure neither loses nor repeats a file.
+    Readers need no log of the writer: a reading's day and batch are in its folder's name.
     """
     writer = (
-        bronze.writeStream.format("parquet")
-        .outputMode("append")
+        bronze.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, path))
     )
     if not continuous:
         writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    return writer.start()
 
 
 def ingest(

@@ -40,7 +40,6 @@ def join_registry_salted(spark, sf_dir):
         adapter.deduplicated(spark, sf_dir),
         adapter.registry_typed(spark, sf_dir),
         spread_by=READING_KEY,
-        counted_from=adapter.raw(spark, sf_dir),
         broadcast_limit=0,
     )
 

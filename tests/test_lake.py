@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -100,7 +102,63 @@ def test_build_and_late_readings(spark, place, tmp_path):
     # A full rebuild takes the rest.
     third = days(lake.run(spark, place, AS_OF))
     assert third["C2", date(2026, 5, 1)].total_daily_steps == 599
-    assert all(r.failures == 0 for r in lake.check(spark, place).collect())
+    report = {r.check: r.failures for r in lake.check(spark, place).collect()}
+    warned = {name: n for name, n in report.items() if name.startswith("warning")}
+    assert not any(n for name, n in report.items() if name not in warned)
+    assert warned["warning: reading_time parsed"] > 0
+
+
+def test_rebuilt_days_without_rows_are_removed(spark, place, tmp_path):
+    """An animal leaves the registry: its only day goes, and the checks pass."""
+    lake.run(spark, place, AS_OF)
+    (tmp_path / "registry" / "cats.csv").write_text(
+        "\n".join(
+            line
+            for line in (tmp_path / "registry" / "cats.csv").read_text().splitlines()
+            if not line.startswith("C2")
+        )
+        + "\n"
+    )
+    mart = lake.run(spark, place, AS_OF, days=[date(2026, 5, 1), date(2026, 5, 2)])
+    assert mart.where("cat_id = 'C2'").count() == 0
+    for table in ("silver", "staging_telemetry", "fact_readings"):
+        assert lake.read(spark, place, table).where("cat_id = 'C2'").count() == 0
+
+
+def test_rejected_rows_of_other_days_stay(spark, place, tmp_path):
+    long = "K" * 60
+    for day in (1, 2):
+        drop_file(tmp_path / "landing", f"long{day}.json", {**reading("C1", day, 3), "collar_id": long})
+    lake.run(spark, place, AS_OF)
+    assert lake.read(spark, place, "rejected_telemetry").count() == 2
+    lake.run(spark, place, AS_OF, days=[date(2026, 5, 2)])
+    lake.run(spark, place, AS_OF, days=[date(2026, 5, 9)])
+    assert lake.read(spark, place, "rejected_telemetry").count() == 2
+
+
+@pytest.mark.parametrize("content", ["nothing", "undated", "unregistered"])
+def test_empty_inputs(spark, place, tmp_path, content):
+    for file in (tmp_path / "landing").glob("*.json"):
+        lines = {
+            "nothing": "",
+            "undated": json.dumps(reading("C1", 1, 0, reading_time="bad")) + "\n",
+            "unregistered": json.dumps(reading("C99", 1, 0)) + "\n",
+        }
+        file.write_text(lines[content])
+    for part in (None, [date(2026, 5, 1)], None):
+        mart = lake.run(spark, place, AS_OF, days=part)
+    assert mart.count() == (1 if content == "undated" else 0)
+    lake.register(spark, place)
+
+
+def test_archived_files_leave_the_landing_folder(spark, place, tmp_path):
+    (tmp_path / "archive").mkdir()
+    moved = replace(place, archive=str(tmp_path / "archive"))
+    lake.run(spark, moved, AS_OF)
+    for n in range(3):
+        drop_file(tmp_path / "landing", f"more{n}.json", reading("C1", 2, 5 + n))
+        lake.build_bronze(spark, moved)
+    assert list((tmp_path / "archive").rglob("*.json"))
 
 
 def test_a_repeated_cat_fails_the_checks(spark, place, tmp_path):

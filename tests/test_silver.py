@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from collarlake.operators.joins import hot_keys, join_profiles, salted
+from collarlake.operators.joins import join_profiles, salted
 from collarlake.operators.latest import latest_row
 from collarlake.plans.silver import clean, days_touched, dedup_latest, readings_on, silver
 from collarlake.schemas import BRONZE
@@ -130,22 +130,30 @@ def test_salted_join_equals_plain_join(spark):
     readings = skewed(spark)
     cats = registry(spark, "HOT", "HOT", *(f"C{i}" for i in range(0, 400, 2)))
     plain = readings.join(cats, "cat_id")
-    spread = join_profiles(
-        readings, cats, spread_by=("collar_id",), rows_per_task=50, broadcast_limit=0
-    )
+    spread = join_profiles(readings, cats, spread_by=("collar_id",), broadcast_limit=0)
     assert spread.columns == plain.columns
     assert sorted(rows(spread)) == sorted(rows(plain))
     assert plan_of(spread).count("_salt") > 0 and "Cartesian" not in plan_of(spread)
 
 
 def test_no_join_task_gets_the_whole_hot_key(spark):
-    readings = skewed(spark)
-    hot = spark.createDataFrame([("HOT", 40)], "cat_id string, _salts int")
-    left, right = salted(readings, registry(spark, "HOT", "C1"), "cat_id", ("collar_id",), hot)
+    left, right = salted(skewed(spark), registry(spark, "HOT", "C1"), ("collar_id",), 40)
     sizes = dict(rows(left.filter("cat_id = 'HOT'").groupBy("_salt").count()))
     assert len(sizes) == 40 and max(sizes.values()) < 100
-    copies = dict(rows(right.groupBy("cat_id").count()))
-    assert copies == {"HOT": 40, "C1": 1}
+    assert dict(rows(right.groupBy("cat_id").count())) == {"HOT": 40, "C1": 40}
+
+
+def test_without_broadcast_readings_are_shuffled_once_and_by_salt(spark):
+    """No exchange carries readings by the animal alone, and no job runs to plan the join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_profiles(skewed(spark), registry(spark, "HOT", "C1"), spread_by=("collar_id",))
+        plan = plan_of(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(exchanges) == 2 and all("_salt" in line for line in exchanges)
 
 
 def test_only_a_registry_known_to_be_small_is_broadcast(spark, tmp_path):
@@ -156,28 +164,11 @@ def test_only_a_registry_known_to_be_small_is_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" in plan_of(small) and "_salt" not in plan_of(small)
     for cats, limit in ((unknown_size, None), (stored, 0)):
         large = join_profiles(
-            readings, cats, spread_by=("collar_id",), broadcast_limit=limit, rows_per_task=5
+            readings, cats, spread_by=("collar_id",), broadcast_limit=limit
         )
         assert "_salt" in plan_of(large)
 
 
-def test_without_a_hot_key_nothing_is_salted(spark):
-    readings, cats = skewed(spark, 30), registry(spark, "HOT")
-    plain = join_profiles(readings, cats, spread_by=("collar_id",), broadcast_limit=0)
-    assert "_salt" not in plan_of(plain) and plain.count() == 10
-
-
-def test_hot_keys_are_counted_once(spark):
-    """The list is a written table: the readings appear once in the plan of the join."""
-    readings = skewed(spark)
-    hot = hot_keys(readings, "cat_id", 500)
-    assert rows(hot) == [("HOT", 4)]
-    assert "Aggregate" not in plan_of(hot)
-    left, right = salted(readings, registry(spark, "HOT"), "cat_id", ("collar_id",), hot)
-    for side in (left, right):
-        assert "BroadcastHashJoin" in plan_of(side)
-
-
 def test_silver_is_the_same_with_and_without_salts(spark):
     """Half of the readings are of one cat, and a third have one collar and no valid time."""
     pick = random.Random(3)
@@ -190,7 +181,7 @@ def test_silver_is_the_same_with_and_without_salts(spark):
     df = bronze(spark, *data)
     cats = registry(spark, *(f"C{i}" for i in range(15)))
     plain = dedup_latest(clean(df)).join(cats, "cat_id")
-    spread = silver(df, cats, rows_per_task=5)
+    spread = silver(df, cats, broadcast_limit=0)
     assert "_salt" in plan_of(spread)
     assert spread.columns == plain.columns
     assert sorted(rows(spread), key=str) == sorted(rows(plain), key=str)

@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import json
+import os
+import re
+import time
+from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from collarlake.schemas import BRONZE, RAW_TELEMETRY
 from collarlake.sources.telemetry import read_bronze
-from collarlake.streaming.bronze import ingest, read_landing, start_bronze, with_ingest_audit
+from collarlake.streaming.bronze import (
+    ingest,
+    read_landing,
+    start_bronze,
+    with_ingest_audit,
+    write_batch,
+)
 from collarlake.workspace import scratch_dir
+from tests.conftest import plan_of
 
 
 def drop_file(folder, name, *readings):
@@ -97,6 +109,43 @@ def test_stream_can_run_on_and_be_stopped(spark, tmp_path):
     assert read_bronze(spark, bronze).agg(F.count_distinct("collar_id")).first()[0] == 2
 
 
+def test_files_with_old_times_are_not_lost(spark, tmp_path):
+    """Late uploads and moved files keep their old times."""
+    landing, bronze, checkpoint = places(tmp_path)
+    for name, days in (("a", 0), ("b", 8), ("c", 400), ("d", 0)):
+        drop_file(landing, f"{name}.json", reading(name))
+        then = time.time() - days * 86_400
+        os.utime(landing / f"{name}.json", (then, then))
+        ingest(spark, str(landing), bronze, checkpoint)
+    assert sorted(r.collar_id for r in read_bronze(spark, bronze).collect()) == list("abcd")
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    landing, bronze, checkpoint = places(tmp_path)
+    drop_file(landing, "a.json", reading("K1"), reading("K2", reading_time="bad"))
+    ingest(spark, str(landing), bronze, checkpoint)
+    nullable = StructType([StructField(f.name, f.dataType) for f in BRONZE])
+    write_batch(spark.createDataFrame(read_bronze(spark, bronze).collect(), nullable), 0, bronze)
+    assert read_bronze(spark, bronze).count() == 2
+
+
+def test_a_day_is_read_without_the_others(spark, tmp_path):
+    """Though every file holds a time that cannot be parsed."""
+    landing, bronze, checkpoint = places(tmp_path)
+    for day in range(1, 6):
+        times = [f"2026-05-0{day} 10:00:00"] * 3 + ["zzz"]
+        drop_file(landing, f"{day}.json", *(reading("K", reading_time=t) for t in times))
+        ingest(spark, str(landing), bronze, checkpoint)
+    one = read_bronze(spark, bronze, [date(2026, 5, 2)])
+    assert one.count() == 3
+    filters = re.search(r"PartitionFilters: \[[^]]*reading_day", plan_of(one))
+    assert filters is not None
+    read = one.select("source_file").distinct().collect()
+    assert len(read) == 1 and read[0].source_file.endswith("2.json")
+    assert read_bronze(spark, bronze, [None]).count() == 5
+    assert read_bronze(spark, bronze, [None, date(2026, 5, 5)]).count() == 8
+
+
 def test_scratch_is_in_the_shared_folder_and_new_each_time(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
