@@ -1,0 +1,125 @@
+"""Tables for the tests, and brute-force versions of what SQL cannot say."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter, defaultdict
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
+
+
+def path_of(sf: str, table: str) -> str:
+    return f"{sf}/{table}.parquet"
+
+
+def documents(spark, texts, extra: bool = False):
+    """A documents table of (doc_id, text) or (doc_id, text, source) rows; ``extra`` adds
+    columns whose names the operators use themselves."""
+    rows = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", 0) for r in texts]
+    df = spark.createDataFrame(rows, DOCS)
+    if extra:
+        for name in ("key", "bands", "shard", "slot", "hi", "row", "starts", "id", "size", "digest"):
+            df = df.selectExpr("*", f"'x' as {name}")
+    return df
+
+
+ODD_TEXTS = [
+    None,
+    "",
+    " \t\n ",
+    "one",
+    "a b c d",
+    "a\n\n\nb",
+    "ÄÖ ß 日本語 😀 ​　 x",
+    "A" * 20_000,
+    "word " * 8_000,
+    "it's We'll don't <|endoftext|> x <|endoftext|>",
+]
+
+
+def odd_rows():
+    """Nulls in any column, empty and very long texts, ties and repeated rows."""
+    rows = [(i, t) for i, t in enumerate(ODD_TEXTS)]
+    rows += [(100 + i, "the same text of seven words here") for i in range(5)]
+    rows += [(200, "repeated row"), (200, "repeated row"), (None, "no id"), (None, None)]
+    return rows
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def shingles(text):
+    w = words(text)
+    if len(w) < 5:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def groups(texts):
+    """doc_id: (size of the set, least doc_id reachable), by comparing all pairs that share
+    a shingle."""
+    sets = {d: shingles(t) for d, t in texts.items()}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = defaultdict(list)
+    for d in sorted(sets):
+        shared = Counter(e for s in sets[d] for e in holders[s])
+        for e, both in shared.items():
+            if 100 * both >= 75 * (len(sets[d]) + len(sets[e]) - both):
+                a, b = find(d), find(e)
+                parent[max(a, b)] = min(a, b)
+        for s in sets[d]:
+            holders[s].append(d)
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+def kneser_ney(texts, order):
+    """A function from a text to (tokens, known tokens, base score, score)."""
+    grams, single = Counter(), Counter()
+    for t in texts:
+        w = ["<s>"] * (order - 1) + words(t) + ["</s>"]
+        single.update(w[order - 1 :])
+        grams.update(tuple(w[i - order + 1 : i + 1]) for i in range(order - 1, len(w)))
+    counts = {order: grams}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    discount, context = {}, {}
+    for k, table in counts.items():
+        n = [sum(c == j for c in table.values()) for j in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0
+        d = [j - (j + 1) * y * n[j] / n[j - 1] if n[j - 1] and y else 0.5 for j in (1, 2, 3)]
+        discount[k] = [0, *(min(max(x, 0.05), j) for j, x in enumerate(d, 1))]
+        context[k] = defaultdict(lambda: [0, 0, 0, 0])
+        for g, c in table.items():
+            context[k][g[:-1]][0] += c
+            context[k][g[:-1]][min(c, 3)] += 1
+    types, total = len(single), sum(single.values())
+
+    def p(g, k):
+        if not k:
+            return 1 / (types + 1)
+        below = p(g[1:], k - 1)
+        if g[:-1] not in context[k]:
+            return below
+        stats, c, d = context[k][g[:-1]], counts[k].get(g, 0), discount[k]
+        free = sum(d[j] * stats[j] for j in (1, 2, 3))
+        return (max(c - d[min(c, 3)], 0) + free * below) / stats[0]
+
+    def score(text):
+        w = ["<s>"] * (order - 1) + words(text) + ["</s>"]
+        events = [tuple(w[i - order + 1 : i + 1]) for i in range(order - 1, len(w))]
+        seen = [single[e[-1]] for e in events]
+        base = sum(math.log10((c + 0.5) / (total + 0.5 * (types + 1))) for c in seen)
+        return len(events), sum(c > 0 for c in seen), base, sum(math.log10(p(e, order)) for e in events)
+
+    return score, total
