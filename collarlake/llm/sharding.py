@@ -11,7 +11,7 @@ serves it, and running sums with a running minimum say who is served where.
 The ring has a fixed number of cells. All that is computed about the ring as a whole
 works on one row per cell or virtual node, a number that does not depend on the data.
 Rows are counted per cell, numbered within their cell, and meet the plan of their cell in
-a broadcast join whose size is bounded by the same number.
+a join by cell, for which they are already in place.
 
 Only built-in functions are used.
 """
@@ -203,7 +203,7 @@ def assign(rows: DataFrame, shards: int, virtual_nodes: int = VIRTUAL_NODES) ->
         .withColumn("__at", F.coalesce(F.sum("__copies").over(in_cell), F.lit(0).cast("long")))
     )
     met = (
-        numbered.join(F.broadcast(pieces), "__cell")
+        numbered.join(pieces, "__cell")
         .withColumn("__from", F.greatest("__at", "__lo"))
         .withColumn("__to", F.least(F.col("__at") + F.col("__copies"), F.col("__hi")))
         .where("__from < __to")
