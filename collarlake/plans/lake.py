@@ -150,6 +150,20 @@ def build_staging(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     tables.overwrite(load_registry(spark, lake.registry), lake.path("staging_registry"))
 
 
+def audit(spark: SparkSession, lake: Lake, schema: str | None = None) -> DataFrame:
+    """Row count and last change of the written tables, or of those of one schema: raw,
+    staging or marts. To be asked for after a load."""
+    raw, staging = ("silver",), ("staging_telemetry", "rejected_telemetry", "staging_registry")
+    known = schemas(spark)
+    names = {t: "raw" if t in raw else "staging" if t in staging else "marts" for t in known}
+    return tables.load_audit(
+        spark,
+        {f"{group}.{t}": lake.path(t) for t, group in names.items()},
+        schema,
+        {f"{group}.{t}": known[t] for t, group in names.items()},
+    )
+
+
 def staged_readings(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
     """The staging model of readings. A view: nothing is written."""
     staging = read(spark, lake, "staging_telemetry")

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 PARTITION = "reading_date"
 # What Spark calls the folder of rows without a day.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+AUDIT = "table_name string, row_count long, last_altered timestamp"
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -83,18 +84,28 @@ def read(spark: SparkSession, path: str, schema: StructType | None = None) -> Da
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
-def load_audit(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+def load_audit(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    schema: str | None = None,
+    columns: Mapping[str, StructType] | None = None,
+) -> DataFrame:
     """Row count and last change of each table: columns table_name, row_count, last_altered.
 
-    No data column is read: counts come from the files' footers, the change time from
-    the file listing.
+    Tables are named with their schema, as in ``staging.cats``, or without one. ``schema``
+    leaves the others out; they are not opened. ``columns`` may hold schemas by the same
+    names, for tables that may be empty. No data column is read: counts come from the files'
+    footers, the change time from the file listing.
     """
     parts = [
-        read(spark, path).agg(
-            F.lit(name).alias("table_name"),
+        read(spark, path, (columns or {}).get(name)).agg(
+            F.lit(name.rpartition(".")[2]).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
             F.max("_metadata.file_modification_time").alias("last_altered"),
         )
         for name, path in paths.items()
+        if schema is None or name.rpartition(".")[0] == schema
     ]
+    if not parts:
+        return spark.createDataFrame([], AUDIT)
     return reduce(DataFrame.unionByName, parts)

@@ -18,7 +18,6 @@ COVERED_BY = {
     "sort_in_window": "dedup_latest",
     "pred_range": "clean_heart_rate",
     "pred_or_and_ne": "dq_heart_rate_valid",
-    "filter_schema_eq": "load_audit",
     "star_projection": "scan_bi_mart",
     "stream_stateless_project": "ingest_audit_cols",
     "stream_checkpoint": "sink_stream_append",

@@ -149,6 +149,10 @@ def test_empty_inputs(spark, place, tmp_path, content):
         mart = lake.run(spark, place, AS_OF, days=part)
     assert mart.count() == (1 if content == "undated" else 0)
     lake.register(spark, place)
+    audit = {r.table_name: r.row_count for r in lake.audit(spark, place, "staging").collect()}
+    assert set(audit) == {"staging_telemetry", "rejected_telemetry", "staging_registry"}
+    assert audit["staging_telemetry"] == mart.count() and audit["staging_registry"] == 2
+    assert lake.audit(spark, place, "none").count() == 0
 
 
 def test_archived_files_leave_the_landing_folder(spark, place, tmp_path):
