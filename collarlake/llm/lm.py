@@ -3,20 +3,27 @@
 Counting. Each task turns its texts into numbered words, counts its distinct n-grams, and
 sends them in packed blocks by the hash of the n-gram, so that an n-gram's counts meet in
 one place and a very frequent word or context is spread over all places. There the counts
-are added up and written as arrays sorted by hash. What lower orders need is added up in
+are added up and written as a table sorted by hash. What lower orders need is added up in
 the same place first and sent on: for each (n-1)-gram the number of distinct words before
-it, and for each context its total and how many n-grams have count 1, 2, and 3 or more.
+it and its own count, and for each context its total and how many n-grams have count 1, 2,
+and 3 or more. Words are numbered by falling count, which packs well.
+
+A table holds for each n-gram its counts and what it is as a context, in as few bits as
+its bucket needs. Of a hash it leaves out the bits that the bucket and a cell of the bucket
+fix; of a column it keeps a few bits a row, and the rare larger numbers apart. Nothing is
+rounded or left out: hashes are those of 64 bits, and all counts are kept.
 
 Scoring. Workers map the files of a bucket into memory when they first look into it; pages
 come from the system's cache and are shared by all workers of a machine. Look-ups are
-sorted, so they run through a file in order.
+sorted and distinct, so they run through a file in order.
 
     p_n(w | c) = max(count(c w) - D(count), 0) / total(c) + g(c) p_{n-1}(w | c')
 
 with counts of distinct left neighbours below the highest order, discounts D1, D2 and D3+
 per order from the counts of counts, g(c) the mass that they free, and a uniform
 distribution over all words and one unknown word below order 1. An unseen context passes
-on to the lower order.
+on to the lower order. As the tables have the plain counts of all orders too, a model gives
+the scores of any lower order's model as well.
 
 The folder must be one that all workers see under the same path, as a mounted file system.
 """
@@ -35,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from collarlake.llm.tables import Saved, importable
+from collarlake.llm.tables import importable
 from collarlake.llm.words import mix, text_bytes, word_hashes
 from collarlake.sizing import estimated_bytes
 
@@ -64,24 +71,28 @@ def local_path(folder: str) -> str:
 
 def pack(columns: list[np.ndarray]) -> bytes:
     """Columns of equal length; the first is best sorted. Differences, bytes by place."""
-    size = len(columns[0])
-    parts = [np.array([size], np.uint64).tobytes()]
+    size, widths, parts = len(columns[0]), [], []
     for column in columns:
         column = column.astype(np.uint64)
-        step = np.diff(column, prepend=np.uint64(0)) if len(parts) == 1 else column
-        parts.append(step.view(np.uint8).reshape(size, 8).T.tobytes())
-    raw = b"".join(parts)
+        step = column if parts else np.diff(column, prepend=np.uint64(0))
+        widths.append(max(1, -(-int(step.max()).bit_length() // 8)) if size else 1)
+        parts.append(np.ascontiguousarray(step.view(np.uint8).reshape(size, 8)[:, : widths[-1]].T))
+    head = np.array([size, len(columns), *widths], np.uint64)
+    raw = b"".join([head.tobytes(), *(p.tobytes() for p in parts)])
     return np.array([len(raw)], np.uint64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpack(block: bytes) -> list[np.ndarray]:
     length = int(np.frombuffer(block[:8], np.uint64)[0])
     raw = pa.decompress(block[8:], decompressed_size=length, codec="zstd", asbytes=True)
-    size = int(np.frombuffer(raw[:8], np.uint64)[0])
-    if not size:
-        return []
-    planes = np.frombuffer(raw[8:], np.uint8).reshape(-1, 8, size)
-    columns = [np.ascontiguousarray(p.T).view(np.uint64).ravel() for p in planes]
+    size, count = (int(x) for x in np.frombuffer(raw[:16], np.uint64))
+    at = 16 + 8 * count
+    columns = []
+    for width in np.frombuffer(raw[16:at], np.uint64).astype(int):
+        wide = np.zeros((size, 8), np.uint8)
+        wide[:, :width] = np.frombuffer(raw, np.uint8, width * size, at).reshape(width, size).T
+        columns.append(wide.view(np.uint64).ravel())
+        at += width * size
     columns[0] = np.cumsum(columns[0], dtype=np.uint64)
     return columns
 
@@ -130,80 +141,185 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
 
 
-def blocks(kind: str, hashes: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple]:
-    """(kind, bucket, block) for each bucket that has rows; columns sorted by the first."""
+def blocks(level: int, kind: str, hashes: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple]:
+    """(level, kind, bucket, block) for each bucket that has rows; columns sorted by the first."""
     to = bucket_of(hashes, buckets)
     order = np.lexsort((columns[0], to))
     edges = np.searchsorted(to[order], np.arange(buckets + 1))
     columns = [c[order] for c in columns]
     for b in np.flatnonzero(np.diff(edges)):
-        yield kind, int(b), pack([c[edges[b] : edges[b + 1]] for c in columns])
+        yield level, kind, int(b), pack([c[edges[b] : edges[b + 1]] for c in columns])
 
 
 def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds, buckets, found = zip(*rows, strict=True) if rows else ((), (), ())
+    levels, kinds, buckets, found = zip(*rows, strict=True) if rows else ((), (), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array(kinds, pa.string()), pa.array(buckets, pa.int64()), pa.array(found, pa.binary())],
-        names=["kind", "bucket", "block"],
+        [
+            pa.array(levels, pa.int64()),
+            pa.array(kinds, pa.string()),
+            pa.array(buckets, pa.int64()),
+            pa.array(found, pa.binary()),
+        ],
+        names=["level", "kind", "bucket", "block"],
     )
 
 
-_BLOCKS = "kind string, bucket long, block binary"
+_BLOCKS = "level long, kind string, bucket long, block binary"
+DONE = -1  # level of what tasks report of the files that they wrote
+
+
+# ---- tables sorted by hash, in files
+
+
+BITS = (0, 1, 2, 4, 8, 16, 32, 64)  # of a number in a column
+RESTS = {40: np.uint8, 48: np.uint16, 64: np.uint32}  # bits of a hash that are stored
+CELLS = 256  # cells whose beginnings are counted from the same number
 
 
-# ---- arrays sorted by hash, in files
+def first_hash(bucket: int, buckets: int) -> int:
+    return -(-(bucket << 32) // buckets) << 32
 
 
-def write_arrays(path: str, hashes: np.ndarray, values: list[np.ndarray]) -> None:
-    """One file: the number of rows and of values, the hashes, then each value's numbers.
-    It appears under its name when it is whole; a task that runs again replaces it."""
+def packed_column(v: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """A column as numbers of few bits above its least, and the places and values of those
+    that need more: they have the largest number of these bits, or any if there are none."""
+    least = v.min() if len(v) else np.uint64(0)
+    x = v - least
+    lengths = [int((x >= np.uint64((1 << b) - 1)).sum()) if 0 < b < 64 else 0 for b in BITS]
+    lengths[0] = int((x > 0).sum())
+    bits, apart = min(zip(BITS, lengths, strict=True), key=lambda c: c[0] * len(x) + 96 * c[1])
+    large = np.flatnonzero(x > 0) if not bits else np.flatnonzero(x >= np.uint64((1 << bits) - 1)) if bits < 64 else np.zeros(0, int)
+    if bits >= 8:
+        dense = np.minimum(x, np.uint64((1 << bits) - 1)).astype(f"u{bits // 8}")
+    elif bits:
+        each = 8 // bits
+        small = np.zeros(-(-len(x) // each) * each, np.uint8)
+        small[: len(x)] = np.minimum(x, np.uint64((1 << bits) - 1))
+        dense = np.bitwise_or.reduce(small.reshape(-1, each) << (np.arange(each) * bits).astype(np.uint8), axis=1)
+    else:
+        dense = np.zeros(0, np.uint8)
+    return [int(least), bits, len(large)], [dense, large.astype(np.uint32), v[large]]
+
+
+def packed_hashes(hashes: np.ndarray, first: int, buckets: int) -> tuple[list[int], list[np.ndarray]]:
+    """Sorted hashes of a bucket: the cell of each, by its high bits, is known from where the
+    cells begin; the rest of its bits is stored."""
+    span = (((1 << 32) // buckets + 1) << 32).bit_length()
+    rest = min((r for r in RESTS if r >= span - 24), key=lambda r: len(hashes) * min(r, 64) // 8 + 2 * (1 << max(0, span - r)), default=64)
+    beyond = hashes - np.uint64(first)
+    cells = 1 << max(0, span - rest)
+    of = beyond >> np.uint64(rest) if rest < 64 else np.zeros(len(beyond), np.uint64)
+    begins = np.searchsorted(of, np.arange(cells + 1, dtype=np.uint64))
+    base = begins[::CELLS]
+    near = begins - np.repeat(base, CELLS)[: len(begins)]
+    wide = np.uint16 if near.max() < 1 << 16 else np.uint32
+    low = (beyond & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    high = beyond >> np.uint64(32) & np.uint64((1 << rest - 32) - 1)
+    return [rest, cells, np.dtype(wide).itemsize], [base.astype(np.uint32), near.astype(wide), low, high.astype(RESTS[rest])]
+
+
+def write_table(path: str, hashes: np.ndarray, values: list[np.ndarray], bucket: int, buckets: int) -> None:
+    """One file: a head that says what follows, the hashes, then each column's numbers. It
+    appears under its name when it is whole; a task that runs again replaces it."""
     order = np.argsort(hashes)
-    top = max((int(v.max()) for v in values if len(v)), default=0)
-    width = 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+    first = first_hash(bucket, buckets)
+    shape, arrays = packed_hashes(hashes[order], first, buckets)
+    head = [len(hashes), first, len(values), *shape]
+    for v in values:
+        shape, more = packed_column(v[order].astype(np.uint64))
+        head, arrays = head + shape, arrays + more
     os.makedirs(os.path.dirname(path), exist_ok=True)
     part = f"{path}.{uuid.uuid4().hex}"
     with open(part, "wb") as file:
-        np.array([len(hashes), len(values), width], np.uint64).tofile(file)
-        hashes[order].tofile(file)
-        for v in values:
-            v[order].astype(f"u{width}").tofile(file)
+        np.array([len(head) + len(arrays), *head, *(a.nbytes for a in arrays)], np.uint64).tofile(file)
+        for a in arrays:
+            a.tofile(file)
     os.replace(part, path)
 
 
+class Table:
+    """A mapped file of ``write_table``."""
+
+    def __init__(self, path: str) -> None:
+        raw = np.memmap(path, np.uint8, "r")
+        count = int(raw[:8].view(np.uint64)[0])
+        head = [int(x) for x in raw[8 : 8 + 8 * count].view(np.uint64)]
+        self.size, self.first, columns, self.rest, _, wide = head[:6]
+        shapes = [head[6 + 3 * i : 9 + 3 * i] for i in range(columns)]
+        at, parts = 8 + 8 * count, []
+        for length in head[6 + 3 * columns :]:
+            parts.append(raw[at : at + length])
+            at += length
+        kinds = [np.uint32, f"u{wide}", np.uint32, RESTS[self.rest]]
+        self.base, self.near, self.low, self.high = (self.array(p, k) for p, k in zip(parts, kinds, strict=False))
+        self.columns = []
+        for i, (least, bits, _) in enumerate(shapes):
+            dense, places, large = parts[4 + 3 * i : 7 + 3 * i]
+            kind = f"u{bits // 8}" if bits >= 8 else np.uint8
+            self.columns.append((least, bits, self.array(dense, kind), self.array(places, np.uint32), self.array(large, np.uint64)))
+
+    @staticmethod
+    def array(part: np.ndarray, kind) -> np.ndarray:
+        # The parts of a file begin at any byte.
+        return np.frombuffer(part, kind) if len(part) else np.zeros(0, kind)
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash is stored, and its row."""
+        beyond = hashes - np.uint64(self.first)
+        cell = (beyond >> np.uint64(self.rest)).astype(np.int64) if self.rest < 64 else np.zeros(len(beyond), np.int64)
+        asked = beyond & np.uint64((1 << self.rest) - 1)
+        at, end = (self.base[c // CELLS].astype(np.int64) + self.near[c] for c in (cell, cell + 1))
+        last = max(self.size - 1, 0)
+        for _ in range(int((end - at).max(initial=0)).bit_length()):
+            middle = np.minimum((at + end) >> 1, last)
+            less = (self.stored(middle) < asked) & (at < end)
+            end = np.where(less, end, np.maximum(middle, at))
+            at = np.where(less, middle + 1, at)
+        begin_next = self.base[(cell + 1) // CELLS].astype(np.int64) + self.near[cell + 1]
+        at = np.minimum(at, last)
+        return (self.stored(at) == asked) & (at < begin_next), at
+
+    def stored(self, rows: np.ndarray) -> np.ndarray:
+        return self.high[rows].astype(np.uint64) << np.uint64(32) | self.low[rows]
+
+    def column(self, i: int, rows: np.ndarray) -> np.ndarray:
+        least, bits, dense, places, large = self.columns[i]
+        if bits >= 8:
+            x = dense[rows].astype(np.uint64)
+        elif bits:
+            each = 8 // bits
+            x = (dense[rows // each] >> (rows % each * bits).astype(np.uint8) & ((1 << bits) - 1)).astype(np.uint64)
+        else:
+            x = np.zeros(len(rows), np.uint64)
+        out = x + np.uint64(least)
+        if len(places):
+            apart = np.flatnonzero(x == np.uint64((1 << bits) - 1))
+            near = np.minimum(np.searchsorted(places, rows[apart].astype(np.uint32)), len(places) - 1)
+            hit = places[near] == rows[apart]
+            out[apart[hit]] = large[near[hit]]
+        return out
+
+
 @lru_cache(maxsize=MAPS)
-def mapped(path: str) -> tuple[np.ndarray, list[np.ndarray]]:
-    raw = np.memmap(path, np.uint8, "r")
-    size, count, width = (int(x) for x in raw[:24].view(np.uint64))
-    at = 24 + 8 * size
-    values = [
-        raw[at + i * width * size : at + (i + 1) * width * size].view(f"u{width}")
-        for i in range(count)
-    ]
-    return raw[24:at].view(np.uint64), values
+def mapped(path: str) -> Table:
+    return Table(path)
 
 
 def look_up(folder: str, kind: str, present: frozenset, buckets: int, hashes: np.ndarray, values: int) -> tuple:
-    """Per hash whether it is stored, its place in its bucket, and its values, 0 if not."""
-    order = np.argsort(hashes)
-    asked = hashes[order]
+    """Per hash whether it is stored, and its values, 0 if not."""
+    asked, back = np.unique(hashes, return_inverse=True)
     edges = np.searchsorted(bucket_of(asked, buckets), np.arange(buckets + 1))
     found = np.zeros(len(asked), bool)
-    place = np.zeros(len(asked), np.int64)
-    out = np.zeros((values, len(asked)), np.int64)
+    out = np.zeros((values, len(asked)), np.uint64)
     for b in np.flatnonzero(np.diff(edges)):
         if (kind, int(b)) not in present:
             continue
-        keys, stored = mapped(f"{folder}/{kind}-{b}")
+        table = mapped(f"{folder}/{kind}-{b}")
         part = slice(edges[b], edges[b + 1])
-        at = np.searchsorted(keys, asked[part])
-        at[at == len(keys)] = 0
-        hit = keys[at] == asked[part]
-        found[part], place[part] = hit, at
+        found[part], at = table.places(asked[part])
         for i in range(values):
-            out[i, part] = np.where(hit, stored[i][at], 0)
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    return found[back], place[back], out[:, back]
+            out[i, part] = np.where(found[part], table.column(i, at), np.uint64(0))
+    return found[back], out.view(np.int64)[:, back]
 
 
 # ---- texts as tokens
@@ -238,6 +354,12 @@ def events(ids: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
 # ---- the model
 
 
+# Columns of a table: an n-gram's distinct left neighbours and its count, and then, for
+# either, what it is as a context: total, and how many n-grams have 1, 2, and 3 or more.
+LEFT, COUNT, AS_CONTEXT = 0, 1, (slice(2, 6), slice(6, 10))
+COLUMNS = 10
+
+
 @dataclass
 class Model:
     folder: str
@@ -245,39 +367,49 @@ class Model:
     order: int
     tokens: int = 0
     types: int = 0
-    offsets: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     present: frozenset = frozenset()  # (kind, bucket) of the files that exist
-    discounts: dict = field(default_factory=dict)  # by order: D1, D2, D3+
-    bottom: tuple = (0, 0, 0, 0)  # total and numbers of counts 1, 2, 3+ at order 1
+    discounts: dict = field(default_factory=dict)  # by order and LEFT or COUNT: D1, D2, D3+
+    bottom: dict = field(default_factory=dict)  # total and numbers of counts 1, 2, 3+ at order 1
 
     def numbered(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers and training counts."""
-        found, place, (count,) = look_up(self.folder, "words", self.present, self.buckets, hashes, 1)
-        ids = place + self.offsets[bucket_of(hashes, self.buckets).astype(np.int64)]
+        found, (count, rank) = look_up(self.folder, "words", self.present, self.buckets, hashes, 2)
+        ids = rank * self.buckets + bucket_of(hashes, self.buckets).astype(np.int64)
         return np.where(found, ids, UNKNOWN).astype(np.uint32), count
 
-    def log_probability(self, grams: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each n-gram's last word after the others."""
+    def log_probability(self, grams: np.ndarray, orders: list[int]) -> list[np.ndarray]:
+        """log10 of the probability of each n-gram's last word after the others, by the
+        model of each of ``orders``."""
         p = np.full(len(grams), 1.0 / (self.types + 1))
-        for k in range(1, self.order + 1):
-            own = grams[:, self.order - k :]
-            _, _, (count,) = look_up(
-                self.folder, f"grams{k}", self.present, self.buckets, gram_hash(own), 1
-            )
-            if k == 1:
-                stats = np.repeat(np.array(self.bottom)[:, None], len(grams), axis=1)
-            else:
-                _, _, stats = look_up(
-                    self.folder, f"contexts{k}", self.present, self.buckets, gram_hash(own[:, :-1]), 4
-                )
-            total, free = stats[0], np.zeros(len(grams))
-            for d, n in zip(self.discounts[k], stats[1:], strict=True):
-                free += d * n
-            d = np.array([0.0, *self.discounts[k]])[np.minimum(count, 3)]
-            known = total > 0
-            below = np.where(known, free / np.maximum(total, 1), 1.0)
-            p = np.where(known, np.maximum(count - d, 0) / np.maximum(total, 1), 0.0) + below * p
-        return np.log10(p)
+        out = {}
+        context = None
+        for k in range(1, max(orders) + 1):
+            asked = [gram_hash(grams[:, self.order - k :])]
+            if k < max(orders):
+                asked.append(gram_hash(grams[:, self.order - k - 1 : -1]))
+            _, values = look_up(self.folder, f"grams{k}", self.present, self.buckets, np.concatenate(asked), COLUMNS)
+            values[AS_CONTEXT[COUNT].start] += values[COUNT]  # see _store
+            own = values[:, : len(grams)]
+            for kind in (COUNT, LEFT):
+                if kind == (COUNT if k in orders else LEFT) or (kind == LEFT and k < max(orders)):
+                    stats = np.array(self.bottom[kind])[:, None] if k == 1 else context[AS_CONTEXT[kind]]
+                    found = self._interpolated(own[kind], stats, self.discounts[k, kind], p)
+                    if kind == COUNT:
+                        out[k] = found
+                    else:
+                        p = found
+            context = values[:, len(grams) :]
+        return [np.log10(out[k]) for k in orders]
+
+    @staticmethod
+    def _interpolated(count: np.ndarray, stats: np.ndarray, discount: tuple, p: np.ndarray) -> np.ndarray:
+        total, free = stats[0], np.zeros(stats.shape[1])
+        for d, n in zip(discount, stats[1:], strict=True):
+            free = free + d * n
+        d = np.array([0.0, *discount])[np.minimum(count, 3)]
+        known = total > 0
+        below = np.where(known, free / np.maximum(total, 1), 1.0)
+        return np.where(known, np.maximum(count - d, 0) / np.maximum(total, 1), 0.0) + below * p
 
 
 def discounts(n: np.ndarray) -> tuple[float, float, float]:
@@ -290,7 +422,7 @@ def discounts(n: np.ndarray) -> tuple[float, float, float]:
     return tuple(out)
 
 
-def _merged(blocks_in: pa.ChunkedArray, keys: int) -> list[np.ndarray]:
+def _merged(blocks_in: list, keys: int) -> list[np.ndarray]:
     """All blocks of a bucket as one, rows with equal keys added up."""
     parts = [unpack(b.as_py()) for b in blocks_in]
     return added([np.concatenate(c) for c in zip(*parts, strict=True)], keys)
@@ -302,10 +434,8 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
     A null or empty text is its end alone. Without any rows all words are equally likely.
     ``folder`` is used by this model only.
     """
-    spark = docs.sparkSession
-    importable(spark)
+    importable(docs.sparkSession)
     path = local_path(folder)
-    saved = Saved(spark, "lm")
     low, high = BUCKETS
     buckets = min(max(low, -(-estimated_bytes(docs) // BUCKET_BYTES)), high)
     model = Model(path, buckets, order)
@@ -324,11 +454,14 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
 
     def send_words(held: list[np.ndarray]) -> pa.RecordBatch:
         words, counts = np.unique(np.concatenate(held), return_counts=True)
-        return as_batch([*blocks("words", words, [words, counts.astype(np.uint64)], buckets)])
+        return as_batch([*blocks(0, "words", words, [words, counts.astype(np.uint64)], buckets)])
 
     def store_words(key: tuple, table: pa.Table) -> pa.Table:
         words, counts = _merged(table.column("block"), 1)
-        write_arrays(f"{path}/words-{key[0].as_py()}", words, [counts])
+        rank = np.empty(len(words), np.uint64)
+        rank[np.argsort(-counts.astype(np.int64), kind="stable")] = np.arange(len(words), dtype=np.uint64)
+        bucket = key[0].as_py()
+        write_table(f"{path}/words-{bucket}", words, [counts, rank], bucket, buckets)
         return pa.table(
             {
                 "bucket": pa.array([key[0].as_py()], pa.int64()),
@@ -343,12 +476,8 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
         .applyInArrow(store_words, "bucket long, types long, tokens long")
         .collect()  # one row per bucket
     )
-    types = np.zeros(buckets, np.int64)
-    for row in words:
-        types[row.bucket] = row.types
-        model.tokens += row.tokens
-    model.types = int(types.sum())
-    model.offsets = np.concatenate([[0], np.cumsum(types)[:-1]])
+    model.tokens = sum(row.tokens for row in words)
+    model.types = sum(row.types for row in words)
     present = {("words", row.bucket) for row in words}
     model.present = frozenset(present)
 
@@ -368,81 +497,96 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
         keys = keys_of(np.concatenate(held))
         columns = added([*keys, np.ones(len(keys[0]), np.uint64)], len(keys))
         hashes = gram_hash(grams_of(columns[:-1], order))
-        return as_batch([*blocks(f"grams{order}", hashes, columns, buckets)])
+        return as_batch([*blocks(order, "grams", hashes, columns, buckets)])
 
     flow = texts.mapInArrow(count_grams, _BLOCKS)
     for k in range(order, 0, -1):
-        flow = saved.write(flow.groupBy("kind", "bucket").applyInArrow(_store(path, k, buckets), _BLOCKS), "flow")
-        done = flow.where("kind like 'stored%' or kind like 'counts%'").collect()
-        # A bounded number of small rows: what files there are, and counts of counts.
-        counts = np.zeros(5, np.uint64)
-        for row in done:
-            if row.kind.startswith("stored"):
-                present.add((row.kind.removeprefix("stored "), row.bucket))
-            else:
-                counts += unpack(bytes(row.block))[1]
-        model.discounts[k] = discounts(counts[1:].astype(float))
-        if k == 1:
-            model.bottom = _bottom(done)
-        flow = flow.where("kind like 'grams%' or kind like 'contexts%'")
+        flow = flow.groupBy("level", "bucket").applyInArrow(_store(path, k, order, buckets), _BLOCKS)
+    sums = np.zeros((order + 1, 2, 8), np.int64)
+    for row in flow.collect():  # a few numbers per order and bucket
+        k = int(row.kind)
+        present.add((f"grams{k}", row.bucket))
+        sums[k] += np.frombuffer(row.block, np.int64).reshape(2, 8)
+    for k in range(1, order + 1):
+        for kind in (LEFT, COUNT):
+            model.discounts[k, kind] = discounts(sums[k, kind, :4].astype(float))
+    model.bottom = {kind: tuple(int(x) for x in sums[1, kind, 4:]) for kind in (LEFT, COUNT)}
     model.present = frozenset(present)
     return model
 
 
-def _bottom(done: list) -> tuple:
-    sums = np.zeros(4, np.int64)
-    for row in done:
-        if row.kind == "counts1":
-            total, *numbers = unpack(bytes(row.block))[2][:4].astype(np.int64)
-            sums += np.array([total, *numbers])
-    return tuple(int(x) for x in sums)
-
-
-def _store(path: str, k: int, buckets: int):
-    """Add up a bucket's blocks, write its file, and send on what lower orders need."""
-
-    def contexts(key: str, bucket: int, table: pa.Table) -> list[tuple]:
-        n = int(key.removeprefix("contexts"))
-        width = -(-(n - 1) // 2)
-        columns = _merged(table.column("block"), width)
-        hashes = gram_hash(grams_of(columns[:width], n - 1))
-        write_arrays(f"{path}/{key}-{bucket}", hashes, columns[width:])
-        return [(f"stored {key}", bucket, b"")]
-
-    def grams(key: str, bucket: int, table: pa.Table) -> list[tuple]:
-        width = -(-k // 2)
-        columns = _merged(table.column("block"), width)
-        rows, count = grams_of(columns[:width], k), columns[width]
-        write_arrays(f"{path}/{key}-{bucket}", gram_hash(rows), [count])
-        some = [(count == c).sum() for c in range(1, 5)]
-        stats = [count, *(count == c for c in (1, 2)), count >= 3]
-        total = [int(s.sum()) for s in stats]
-        out = [
-            (f"stored {key}", bucket, b""),
-            (f"counts{k}", bucket, pack([np.arange(5), np.array([0, *some]), np.array([*total, 0])])),
+def _counted(count: np.ndarray) -> list[np.ndarray]:
+    """Per n-gram what it adds to its context."""
+    return [count, *(count == c for c in (1, 2)), count >= 3]
+
+
+def _store(path: str, k: int, order: int, buckets: int):
+    """Add up a bucket's blocks of order k, write its file, and send on what lower orders
+    need. What other tasks reported is passed on."""
+    width = -(-k // 2)
+
+    def table(bucket: int, grams: list, contexts: list) -> list[tuple]:
+        found = _merged(grams, width) if grams else None
+        rows = grams_of(found[:width], k) if grams else np.zeros((0, k), np.uint32)
+        hashes = gram_hash(rows)
+        count = found[-1] if grams else np.zeros(0, np.uint64)
+        left = found[width] if grams and k < order else np.zeros(len(rows), np.uint64)
+        every, values = hashes, [left, count]
+        if contexts:
+            own = _merged(contexts, width)
+            at = gram_hash(grams_of(own[:width], k))
+            every = np.union1d(hashes, at)
+            mine, theirs = np.searchsorted(every, hashes), np.searchsorted(every, at)
+        else:
+            own, mine, theirs = [], slice(None), slice(None)
+        values = [_placed(v, mine, len(every)) for v in values]
+        more = [_placed(v, theirs, len(every)) for v in own[width:]]
+        none = np.zeros(len(every), np.uint64)
+        values += [none] * (8 - len(more)) + more
+        # A context's total is nearly always its count as an n-gram; the difference is kept.
+        values[AS_CONTEXT[COUNT].start] = values[AS_CONTEXT[COUNT].start] - values[COUNT]
+        write_table(f"{path}/grams{k}-{bucket}", every, values, bucket, buckets)
+        sums = [
+            [*((x == c).sum() for c in range(1, 5)), *(s.sum() for s in _counted(x))] for x in (left, count)
         ]
-        if k > 1:
-            for kind, n, part, values in (
-                (f"grams{k - 1}", k - 1, rows[:, 1:], [np.ones(len(rows))]),
-                (f"contexts{k}", k - 1, rows[:, :-1], stats),
+        out = [(DONE, str(k), bucket, np.array(sums).astype(np.int64).tobytes())]
+        if k > 1 and len(rows):
+            stats = [*(_counted(left) if k < order else []), *_counted(count)]
+            for kind, part, numbers in (
+                ("grams", rows[:, 1:], [np.ones(len(rows)), count]),
+                ("contexts", rows[:, :-1], stats),
             ):
                 keys = keys_of(part)
-                sums = added([*keys, *(v.astype(np.uint64) for v in values)], len(keys))
-                out += blocks(kind, gram_hash(grams_of(sums[: len(keys)], n)), sums, buckets)
+                summed = added([*keys, *(v.astype(np.uint64) for v in numbers)], len(keys))
+                to = gram_hash(grams_of(summed[: len(keys)], k - 1))
+                out += blocks(k - 1, kind, to, summed, buckets)
         return out
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        kind, bucket = key[0].as_py(), key[1].as_py()
-        store = contexts if kind.startswith("contexts") else grams
-        return pa.Table.from_batches([as_batch(store(kind, bucket, table))])
+    def run(key: tuple, data: pa.Table) -> pa.Table:
+        if key[0].as_py() == DONE:
+            return data
+        kinds = data.column("kind").to_pylist()
+        grams, contexts = (
+            [b for b, kind in zip(data.column("block"), kinds, strict=True) if kind == name]
+            for name in ("grams", "contexts")
+        )
+        return pa.Table.from_batches([as_batch(table(key[1].as_py(), grams, contexts))])
 
     return run
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def _placed(values: np.ndarray, at, size: int) -> np.ndarray:
+    out = np.zeros(size, np.uint64)
+    out[at] = values
+    return out
+
+
+def score(docs: DataFrame, model: Model, scores: dict[str, int] | None = None) -> DataFrame:
     """``docs`` without ``text``, with n_tokens, n_known, base_score and score: the log10
     probabilities of the whole text by single words and by the model. Every text has its
-    end as a token at least."""
+    end as a token at least. ``scores`` names other columns in the place of score, each with
+    the order of its model, up to the one that was counted."""
+    scores = scores or {"score": model.order}
     importable(docs.sparkSession)
     names = [c for c in docs.columns if c != "text"]
     fields = [f for f in docs.schema.fields if f.name != "text"]
@@ -452,7 +596,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             ("n_tokens", T.LongType),
             ("n_known", T.LongType),
             ("base_score", T.DoubleType),
-            ("score", T.DoubleType),
+            *((name, T.DoubleType) for name in scores),
         )
     ]
     schema = T.StructType([*fields, *added_fields])
@@ -463,21 +607,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             parts = []
             for hashes, starts in tokens(batch.column("text")):
                 ids, count = model.numbered(hashes)
-                log = model.log_probability(events(ids, starts, model.order))
+                logs = model.log_probability(events(ids, starts, model.order), [*scores.values()])
                 heads = starts[:-1]
                 parts.append(
                     (
                         np.diff(starts),
                         np.add.reduceat((count > 0).astype(np.int64), heads),
                         np.add.reduceat(np.log10((count + 0.5) / base), heads),
-                        np.add.reduceat(log, heads),
+                        *(np.add.reduceat(log, heads) for log in logs),
                     )
                 )
             if parts:
                 found = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(n) for n in names), *found],
-                    names=[*names, "n_tokens", "n_known", "base_score", "score"],
+                    names=[*names, "n_tokens", "n_known", "base_score", *scores],
                 )
 
     return docs.mapInArrow(run, schema)

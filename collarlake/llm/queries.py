@@ -164,8 +164,9 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(bucket(5) == 1, F.lit(False))
-    model = lm.train(docs.where(~held_out), scratch_dir(spark, "language-model"))
-    return lm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select(
+    model = lm.train(docs.where(~held_out), scratch_dir(spark, "language-model"), order=3)
+    docs = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return lm.score(docs, model, {"score": 2, "score_3": 3}).select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -173,6 +174,7 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
+        "score_3",
     )
 
 

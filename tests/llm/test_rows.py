@@ -205,6 +205,30 @@ def test_language_model_of_documents(spark, given):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_language_model_query_counts_trigrams(spark, given):
+    rows = queries.op7_lm(spark, SF).collect()
+    train = [t for d, t in given.items() if zlib.crc32(str(d).encode()) % 5 != 1]
+    score, _ = kneser_ney(train, 3)
+    for row in rows:
+        assert row.score_3 == pytest.approx(score(given[row.doc_id])[3], rel=1e-9)
+
+
+def test_tables_keep_hashes_and_numbers(tmp_path):
+    source = np.random.default_rng(1)
+    for size, buckets in ((0, 16), (1, 16), (5, 1), (300_000, 16), (3000, 16_384)):
+        low = lm.first_hash(buckets - 1, buckets)
+        hashes = np.unique(np.append(source.integers(low, 2**64, size, np.uint64), np.uint64(2**64 - 1)))[-size:][:size]
+        values = [source.choice(np.array(v, np.uint64), size) for v in ([7], [0, 0, 1, 2, 2**64 - 1], [1] * 500 + [2, 3, 10**6])]
+        lm.write_table(f"{tmp_path}/words-{buckets - 1}", hashes, values, buckets - 1, buckets)
+        lm.mapped.cache_clear()
+        asked = np.concatenate([hashes, hashes ^ np.uint64(1)])
+        present = frozenset({("words", buckets - 1)})
+        found, out = lm.look_up(str(tmp_path), "words", present, buckets, asked, 3)
+        assert (found == np.isin(asked, hashes)).all()
+        for v, o in zip(values, out.view(np.uint64), strict=True):
+            assert (o[: len(hashes)] == v).all()
+
+
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_language_model_orders(spark, tmp_path, monkeypatch, order):
     monkeypatch.setattr(lm, "EVENTS", 50)
