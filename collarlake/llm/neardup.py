@@ -385,13 +385,29 @@ def components(links: DataFrame, saved: Saved) -> DataFrame:
         roots, total = new, now
 
 
+def several(rows: DataFrame) -> DataFrame:
+    """(doc_id): those whose rows have different sets."""
+    ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("hi", "lo")]
+    found = rows.where("doc_id is not null").groupBy("doc_id").agg(*ends)
+    return found.where("min_hi <> max_hi or min_lo <> max_lo").select("doc_id")
+
+
+def same_document(repeated: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(u, v): the least class of each doc_id in ``repeated`` with its others."""
+    own = rows.where("n_shingles > 0").join(repeated, "doc_id").select("doc_id", "hi", "lo").distinct()
+    own = own.join(classes.select("hi", "lo", "id"), ["hi", "lo"]).select("doc_id", "id").distinct()
+    least = own.groupBy("doc_id").agg(F.min("id").alias("u"))
+    return own.join(least, "doc_id").where("id <> u").select("u", F.col("id").alias("v")).distinct()
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
 
     The component is the least doc_id of the document's group; ``kept`` marks that
     document. Texts without words, null ones included, are groups of their own. Rows that
-    repeat a doc_id are one document: links of each of their texts count for all. A row
-    without a doc_id is linked with nothing: its component is null, and it is kept.
+    repeat a doc_id are one document: links of each of their texts count for all, and texts
+    without words are in the group of the others. A row without a doc_id is linked with
+    nothing: its component is null, and it is kept.
     """
     spark = docs.sparkSession
     saved = Saved(spark, "near")
@@ -412,7 +428,11 @@ def grouped(docs: DataFrame) -> DataFrame:
     sets = saved.write(full_sets(docs, classes, buckets.select("id").distinct()), "sets")
     pairs = saved.write(families(buckets, saved), "pairs")
     family = saved.write(compared(pairs, sets), "family")
-    links = saved.write(family.where("linked").select("u", "v"), "links")
+    links = family.where("linked").select("u", "v")
+    repeated = saved.write(several(rows), "repeated")
+    if some := not repeated.isEmpty():
+        links = links.unionByName(same_document(repeated, rows, classes))
+    links = saved.write(links, "links")
     groups = components(links, saved)
     inner = saved.write(inner_buckets(family, groups, saved), "inner")
     pairs = direct_pairs(family, groups).unionByName(small_pairs(inner)).distinct()
@@ -426,10 +446,18 @@ def grouped(docs: DataFrame) -> DataFrame:
         .select("hi", "lo", F.coalesce("component", "id").alias("component_id")),
         "found",
     )
-    saved.keep([rows, found])
+    kept = [rows, found]
     out = rows.select("doc_id", "n_shingles", "hi", "lo").join(found, ["hi", "lo"], "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    component = F.when(linked, F.col("component_id")).otherwise(F.col("doc_id"))
+    other = F.col("doc_id")
+    if some:
+        own = rows.where("n_shingles > 0").join(repeated, "doc_id").join(found, ["hi", "lo"])
+        own = own.groupBy("doc_id").agg(F.min("component_id").alias("own"))
+        kept.append(saved.write(own, "own"))
+        out = out.join(kept[-1], "doc_id", "left")
+        other = F.coalesce("own", "doc_id")
+    saved.keep(kept)
+    component = F.when(linked, F.col("component_id")).otherwise(other)
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )

@@ -213,6 +213,20 @@ def test_near_dedup_of_odd_rows(spark):
     assert neardup.dedup(documents(spark, rows)).count() == len(rows) - 4 - 1
 
 
+def test_near_dedup_of_ids_with_several_texts(spark):
+    a, b, c, d = (" ".join(f"{letter}{i}" for i in range(40)) for letter in "abcd")
+    near = b.rsplit(" ", 1)[0] + " end"
+    rows = [(3, a), (5, a), (5, b), (9, near), (20, c), (21, c), (21, ""), (21, None)]
+    rows += [(30, d), (30, "some other words"), (40, ""), (40, None), (41, "a b"), (41, "a b")]
+    docs = documents(spark, rows)
+    found = neardup.grouped(docs).collect()
+    least = {3: 3, 5: 3, 9: 3, 20: 20, 21: 20, 30: 30, 40: 40, 41: 41}
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in found} == set(least.items())
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    assert sorted(r.doc_id for r in neardup.dedup(docs).collect()) == sorted(set(least.values()))
+
+
 def test_signature_estimates_similarity():
     source = np.random.default_rng(2)
     both, a, b = (source.integers(0, 1 << 62, n).astype(np.uint64) for n in (300, 50, 50))
