@@ -13,9 +13,12 @@ from collarlake.llm import (
     graph,
     linededup,
     lm,
+    merkle,
     mixing,
     neardup,
+    packing,
     quality,
+    runs,
     sharding,
     tokencounts,
 )
@@ -205,3 +208,146 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.counted(docs, tokenizer("word_bpe_49k.json"), cache).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit")
     )
+
+
+# The parity of crc32 of a number's decimal digits, which SQL has no function for.
+CRC32 = """
+    xor(4294967295, list_reduce(
+        list_prepend(cast(4294967295 as bigint),
+                     [cast(ascii(c) as bigint) for c in string_split(cast(doc_id as varchar), '')]),
+        lambda crc, byte: list_reduce(
+            [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, _: xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end))))
+"""
+
+
+def _sql_digest(*fields: str) -> str:
+    parts = (f"coalesce(strlen(cast({f} as varchar)) || ':' || cast({f} as varchar), '-')" for f in fields)
+    return "sha256(" + " || ".join(parts) + ")"
+
+
+def _sql_tree(name: str, leaves: str) -> str:
+    """Levels of the trees over ``leaves``, which has grp, pos, n and node."""
+    return f"""{name} as (
+        select 0 as lvl, grp, pos, n, node from {leaves}
+        union all
+        select lvl + 1, grp, pos // 3, (n + 2) // 3, sha256(string_agg(node, '' order by pos))
+        from {name} where n > 1 group by lvl, grp, n, pos // 3)"""
+
+
+@query(
+    "op11_manifest",
+    f"""
+    with recursive rows_ as materialized (
+        select row_number() over () as id, doc_id, source as grp,
+               {_sql_digest("doc_id", "source", "lang", "n_chars", "text")} as node,
+               case when {CRC32} % 2 = 0
+                    then {_sql_digest("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')")}
+                    else {_sql_digest("doc_id", "source", "lang", "n_chars", "text")} end as own
+        from documents),
+    leaves as materialized (
+        select *, row_number() over (partition by grp order by doc_id nulls first, node) - 1 as pos,
+               count(*) over (partition by grp) as n from rows_),
+    {_sql_tree("low", "leaves")},
+    tops as materialized (
+        select 0 as grp, row_number() over (order by grp nulls first) - 1 as pos,
+               count(*) over () as n, node, grp as name from low where n = 1),
+    {_sql_tree("high", "tops")},
+    steps as (
+        select 0 as part, id, lvl, low.pos - low.pos % 3 as first, low.pos, low.node, low.n,
+               leaves.pos // cast(pow(3, lvl) as bigint) as mine
+        from leaves join low on low.grp is not distinct from leaves.grp
+             and low.pos // 3 = leaves.pos // cast(pow(3, lvl + 1) as bigint) and low.n > 1
+        union all
+        select 1, id, lvl, high.pos - high.pos % 3, high.pos, high.node, high.n,
+               tops.pos // cast(pow(3, lvl) as bigint)
+        from leaves join tops on tops.name is not distinct from leaves.grp
+             join high on high.pos // 3 = tops.pos // cast(pow(3, lvl + 1) as bigint) and high.n > 1),
+    siblings as (
+        select id, part, lvl,
+               coalesce(string_agg(node, '' order by pos) filter (pos < mine), '') as before,
+               coalesce(string_agg(node, '' order by pos) filter (pos > mine), '') as after
+        from steps group by all),
+    climb as materialized (
+        select *, row_number() over (partition by id order by part, lvl) as step from siblings),
+    folded as (
+        select id, 0 as step, own as node from leaves
+        union all
+        select f.id, c.step, sha256(c.before || f.node || c.after)
+        from folded f join climb c on c.id = f.id and c.step = f.step + 1),
+    ends as (select id, arg_max(node, step) as node from folded group by id),
+    proofs as (select id, string_agg(before || after, '' order by part, lvl) as proof from siblings group by id),
+    root as (select node from high where n = 1)
+    select leaves.doc_id, leaves.node as leaf, tops.node as subroot, root.node as root,
+           sha256(coalesce(proof, '')) as proof_sha256, ends.node as folded_root,
+           ends.node = root.node as verified
+    from leaves join ends using (id) join tops on tops.name is not distinct from leaves.grp
+         cross join root left join proofs using (id)
+    """,
+)
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    text = F.col("text")
+    tampered = F.when(bucket(2) == 0, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+    made = merkle.manifest(
+        docs, "source", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered}
+    )
+
+    def shown(name: str) -> Column:
+        return F.lower(F.hex(name))
+
+    return made.select(
+        "doc_id",
+        shown("leaf").alias("leaf"),
+        shown("subroot").alias("subroot"),
+        shown("root").alias("root"),
+        F.sha2(shown("proof"), 256).alias("proof_sha256"),
+        shown("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def looped(text: Column, doc_id: str) -> Column:
+    """A tenth of the texts, with words from some place on that repeat with a period."""
+    h = F.crc32(F.col(doc_id).cast("string"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words)
+    a = F.pmod(g, F.greatest(n, F.lit(1)))
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    period = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    tail = F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int")))
+    tail = F.slice(tail, F.lit(1), (n - a).cast("int"))
+    made = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), made).otherwise(text)
+
+
+@query("op12_runs")
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.detect(docs.select("doc_id", looped(F.col("text"), "doc_id").alias("text")))
+    # The longest one; of equal ones the first, then that of the least period.
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    return found.select("doc_id", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias(
+            "runs_sha256"
+        ),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_packing")
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), "doc_id", capacity=2048, end=0)
