@@ -148,10 +148,9 @@ def _sums(x: DataFrame, function) -> np.ndarray:
             )
 
     parts = x.select("x", "positive").mapInArrow(run, "k long, v double")
-    found = parts.groupBy("k").agg(F.sum("v").alias("v")).toPandas()
-    out = np.zeros(int(found["k"].max()) + 1 if len(found) else 0)
-    out[found["k"].to_numpy(int)] = found["v"].to_numpy(float)
-    return out
+    # As many numbers as ``function`` gives for a batch, however many batches there are.
+    found = {row.k: row.v for row in parts.groupBy("k").agg(F.sum("v").alias("v")).collect()}
+    return np.array([found[k] for k in range(len(found))])
 
 
 @dataclass
