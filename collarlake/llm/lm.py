@@ -5,10 +5,10 @@ sends them in packed blocks by the hash of the n-gram, so that an n-gram's count
 one place and a very frequent word or context is spread over all places. There the counts
 are added up and written as a table sorted by hash. What lower orders need is added up in
 the same place first and sent on: for each (n-1)-gram the number of distinct words before
-it and its own count, and for each context its total and how many n-grams have count 1, 2,
-and 3 or more. Words are numbered by falling count, which packs well.
+it, and for each context its total and how many n-grams have count 1, 2, and 3 or more.
+Words are numbered by falling count, which packs well.
 
-A table holds for each n-gram its counts and what it is as a context, in as few bits as
+A table holds for each n-gram its count and what it is as a context, in as few bits as
 its bucket needs. Of a hash it leaves out the bits that the bucket and a cell of the bucket
 fix; of a column it keeps a few bits a row, and the rare larger numbers apart. Nothing is
 rounded or left out: hashes are those of 64 bits, and all counts are kept.
@@ -22,8 +22,8 @@ sorted and distinct, so they run through a file in order.
 with counts of distinct left neighbours below the highest order, discounts D1, D2 and D3+
 per order from the counts of counts, g(c) the mass that they free, and a uniform
 distribution over all words and one unknown word below order 1. An unseen context passes
-on to the lower order. As the tables have the plain counts of all orders too, a model gives
-the scores of any lower order's model as well.
+on to the lower order. A token's context is the n-gram that ends with the token before it, so
+one look-up for each token and order finds both.
 
 The folder must be one that all workers see under the same path, as a mounted file system.
 """
@@ -44,12 +44,12 @@ from pyspark.sql import types as T
 
 from collarlake.llm.tables import importable
 from collarlake.llm.words import mix, text_bytes, word_hashes
-from collarlake.sizing import estimated_bytes
+from collarlake.sizing import estimated_bytes, sized_for
 
 MIB = 1024 * 1024
-ORDER = 2
-BUCKET_BYTES = 8 * MIB  # of input per bucket
-BUCKETS = (16, 16_384)
+ORDER = 3
+BUCKET_BYTES = 4 * MIB  # of input per bucket
+BUCKETS = (16, 65_536)
 STRETCH = 4 * MIB
 EVENTS = 1 << 21  # n-grams that a task gathers before it counts and sends them
 MAPS = 256
@@ -97,18 +97,26 @@ def unpack(block: bytes) -> list[np.ndarray]:
     return columns
 
 
-def added(columns: list[np.ndarray], keys: int) -> list[np.ndarray]:
-    """Rows with equal first ``keys`` columns become one, the other columns added up."""
-    if not len(columns[0]):
-        return columns
-    order = np.argsort(columns[0], kind="stable") if keys == 1 else np.lexsort(columns[:keys][::-1])
+def added(columns: list[np.ndarray], keys: int, by: np.ndarray | None = None) -> list[np.ndarray]:
+    """Rows with equal first ``keys`` columns become one, the other columns added up. They are
+    sorted by the first column or by ``by``, a hash of the keys, which is then the first one."""
+    order = np.argsort(columns[0] if by is None else by)
+    hashes = [] if by is None else [by[order]]
     columns = [c[order] for c in columns]
     new = np.ones(len(order), bool)
     new[1:] = columns[0][1:] != columns[0][:-1]
     for c in columns[1:keys]:
         new[1:] |= c[1:] != c[:-1]
     at = np.flatnonzero(new)
-    return [c[at] for c in columns[:keys]] + [np.add.reduceat(c, at) for c in columns[keys:]]
+    summed = [np.add.reduceat(c, at) if len(at) else c for c in columns[keys:]]
+    return [c[at] for c in hashes + columns[:keys]] + summed
+
+
+def added_grams(columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The same for n-grams: their hashes, sorted, and the columns."""
+    width = -(-n // 2)
+    hashes, *columns = added(columns, width, gram_hash(grams_of(columns[:width], n)))
+    return hashes, columns
 
 
 def keys_of(grams: np.ndarray) -> list[np.ndarray]:
@@ -143,9 +151,11 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def blocks(level: int, kind: str, hashes: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple]:
     """(level, kind, bucket, block) for each bucket that has rows; columns sorted by the first."""
-    to = bucket_of(hashes, buckets)
-    order = np.lexsort((columns[0], to))
-    edges = np.searchsorted(to[order], np.arange(buckets + 1))
+    order = np.argsort(columns[0])
+    to = bucket_of(hashes[order], buckets)
+    within = np.argsort(to.astype(np.uint16) if buckets <= 1 << 16 else to, kind="stable")
+    order, to = order[within], to[within]
+    edges = np.searchsorted(to, np.arange(buckets + 1))
     columns = [c[order] for c in columns]
     for b in np.flatnonzero(np.diff(edges)):
         yield level, kind, int(b), pack([c[edges[b] : edges[b + 1]] for c in columns])
@@ -221,12 +231,14 @@ def packed_hashes(hashes: np.ndarray, first: int, buckets: int) -> tuple[list[in
 def write_table(path: str, hashes: np.ndarray, values: list[np.ndarray], bucket: int, buckets: int) -> None:
     """One file: a head that says what follows, the hashes, then each column's numbers. It
     appears under its name when it is whole; a task that runs again replaces it."""
-    order = np.argsort(hashes)
+    if (hashes[1:] < hashes[:-1]).any():
+        order = np.argsort(hashes)
+        hashes, values = hashes[order], [v[order] for v in values]
     first = first_hash(bucket, buckets)
-    shape, arrays = packed_hashes(hashes[order], first, buckets)
+    shape, arrays = packed_hashes(hashes, first, buckets)
     head = [len(hashes), first, len(values), *shape]
     for v in values:
-        shape, more = packed_column(v[order].astype(np.uint64))
+        shape, more = packed_column(v.astype(np.uint64))
         head, arrays = head + shape, arrays + more
     os.makedirs(os.path.dirname(path), exist_ok=True)
     part = f"{path}.{uuid.uuid4().hex}"
@@ -270,14 +282,15 @@ class Table:
         asked = beyond & np.uint64((1 << self.rest) - 1)
         at, end = (self.base[c // CELLS].astype(np.int64) + self.near[c] for c in (cell, cell + 1))
         last = max(self.size - 1, 0)
+        stop = end
         for _ in range(int((end - at).max(initial=0)).bit_length()):
             middle = np.minimum((at + end) >> 1, last)
             less = (self.stored(middle) < asked) & (at < end)
             end = np.where(less, end, np.maximum(middle, at))
             at = np.where(less, middle + 1, at)
-        begin_next = self.base[(cell + 1) // CELLS].astype(np.int64) + self.near[cell + 1]
+        inside = at < stop
         at = np.minimum(at, last)
-        return (self.stored(at) == asked) & (at < begin_next), at
+        return (self.stored(at) == asked) & inside, at
 
     def stored(self, rows: np.ndarray) -> np.ndarray:
         return self.high[rows].astype(np.uint64) << np.uint64(32) | self.low[rows]
@@ -306,20 +319,22 @@ def mapped(path: str) -> Table:
 
 
 def look_up(folder: str, kind: str, present: frozenset, buckets: int, hashes: np.ndarray, values: int) -> tuple:
-    """Per hash whether it is stored, and its values, 0 if not."""
+    """Per hash whether it is stored, and a row of its first values, 0 if not."""
     asked, back = np.unique(hashes, return_inverse=True)
     edges = np.searchsorted(bucket_of(asked, buckets), np.arange(buckets + 1))
     found = np.zeros(len(asked), bool)
-    out = np.zeros((values, len(asked)), np.uint64)
+    out = np.zeros((len(asked), values), np.uint64)
     for b in np.flatnonzero(np.diff(edges)):
         if (kind, int(b)) not in present:
             continue
         table = mapped(f"{folder}/{kind}-{b}")
         part = slice(edges[b], edges[b + 1])
-        found[part], at = table.places(asked[part])
+        hit, at = table.places(asked[part])
+        found[part] = hit
+        at = at[hit]
         for i in range(values):
-            out[i, part] = np.where(found[part], table.column(i, at), np.uint64(0))
-    return found[back], out.view(np.int64)[:, back]
+            out[part, i][hit] = table.column(i, at)
+    return found[back], out.view(np.int64)[back]
 
 
 # ---- texts as tokens
@@ -354,10 +369,10 @@ def events(ids: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
 # ---- the model
 
 
-# Columns of a table: an n-gram's distinct left neighbours and its count, and then, for
-# either, what it is as a context: total, and how many n-grams have 1, 2, and 3 or more.
-LEFT, COUNT, AS_CONTEXT = 0, 1, (slice(2, 6), slice(6, 10))
-COLUMNS = 10
+# Columns of a table: an n-gram's count, at lower orders that of its distinct left neighbours,
+# and what it is as a context: what its total has beyond the least that the rest implies, and
+# how many n-grams have 1, 2, and 3 or more.
+COLUMNS = 5
 
 
 @dataclass
@@ -368,38 +383,40 @@ class Model:
     tokens: int = 0
     types: int = 0
     present: frozenset = frozenset()  # (kind, bucket) of the files that exist
-    discounts: dict = field(default_factory=dict)  # by order and LEFT or COUNT: D1, D2, D3+
-    bottom: dict = field(default_factory=dict)  # total and numbers of counts 1, 2, 3+ at order 1
+    discounts: dict = field(default_factory=dict)  # by order: D1, D2, D3+
+    bottom: tuple = (0, 0, 0, 0)  # total and numbers of counts 1, 2, 3+ at order 1
 
     def numbered(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers and training counts."""
-        found, (count, rank) = look_up(self.folder, "words", self.present, self.buckets, hashes, 2)
-        ids = rank * self.buckets + bucket_of(hashes, self.buckets).astype(np.int64)
-        return np.where(found, ids, UNKNOWN).astype(np.uint32), count
-
-    def log_probability(self, grams: np.ndarray, orders: list[int]) -> list[np.ndarray]:
-        """log10 of the probability of each n-gram's last word after the others, by the
-        model of each of ``orders``."""
-        p = np.full(len(grams), 1.0 / (self.types + 1))
-        out = {}
-        context = None
-        for k in range(1, max(orders) + 1):
-            asked = [gram_hash(grams[:, self.order - k :])]
-            if k < max(orders):
-                asked.append(gram_hash(grams[:, self.order - k - 1 : -1]))
-            _, values = look_up(self.folder, f"grams{k}", self.present, self.buckets, np.concatenate(asked), COLUMNS)
-            values[AS_CONTEXT[COUNT].start] += values[COUNT]  # see _store
-            own = values[:, : len(grams)]
-            for kind in (COUNT, LEFT):
-                if kind == (COUNT if k in orders else LEFT) or (kind == LEFT and k < max(orders)):
-                    stats = np.array(self.bottom[kind])[:, None] if k == 1 else context[AS_CONTEXT[kind]]
-                    found = self._interpolated(own[kind], stats, self.discounts[k, kind], p)
-                    if kind == COUNT:
-                        out[k] = found
-                    else:
-                        p = found
-            context = values[:, len(grams) :]
-        return [np.log10(out[k]) for k in orders]
+        found, values = look_up(self.folder, "words", self.present, self.buckets, hashes, 2)
+        ids = values[:, 1] * self.buckets + bucket_of(hashes, self.buckets).astype(np.int64)
+        return np.where(found, ids, UNKNOWN).astype(np.uint32), values[:, 0]
+
+    def log_probability(self, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each token after those before it in its text."""
+        none = np.full((1, self.order), START, np.uint32)  # before a text's first token
+        grams = np.concatenate([none, grams])
+        p = np.full(len(grams) - 1, 1.0 / (self.types + 1))
+        stats = np.array(self.bottom)[:, None]
+        for k in range(1, self.order + 1):
+            asked = gram_hash(grams[:, self.order - k :])
+            # An n-gram of the highest order is no context.
+            width = COLUMNS if k < self.order else 1
+            _, found = look_up(self.folder, f"grams{k}", self.present, self.buckets, asked, width)
+            p = self._interpolated(found[1:, 0], stats, self.discounts[k], p)
+            if k < self.order:
+                # The context of a token is what ends with the token before it.
+                found[starts[1:]] = found[0]
+                found[0] = found[starts[0]] if starts[0] else found[0]
+                stats = np.ascontiguousarray(found[:-1, 1:].T)
+                stats[0] += stats[1] + 2 * stats[2] + 3 * stats[3]
+        return np.log10(p)
+
+    def word_scores(self, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts of tokens, and log10 of their probabilities."""
+        words, back = np.unique(hashes, return_inverse=True)
+        ids, count = self.numbered(words)
+        return count[back], self.log_probability(events(ids[back], starts, self.order), starts)
 
     @staticmethod
     def _interpolated(count: np.ndarray, stats: np.ndarray, discount: tuple, p: np.ndarray) -> np.ndarray:
@@ -422,10 +439,10 @@ def discounts(n: np.ndarray) -> tuple[float, float, float]:
     return tuple(out)
 
 
-def _merged(blocks_in: list, keys: int) -> list[np.ndarray]:
-    """All blocks of a bucket as one, rows with equal keys added up."""
+def _merged(blocks_in: list) -> list[np.ndarray]:
+    """All blocks of a bucket as one."""
     parts = [unpack(b.as_py()) for b in blocks_in]
-    return added([np.concatenate(c) for c in zip(*parts, strict=True)], keys)
+    return [np.concatenate(c) for c in zip(*parts, strict=True)]
 
 
 def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
@@ -435,7 +452,11 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
     ``folder`` is used by this model only.
     """
     importable(docs.sparkSession)
-    path = local_path(folder)
+    with sized_for(docs):
+        return _train(docs, local_path(folder), order)
+
+
+def _train(docs: DataFrame, path: str, order: int) -> Model:
     low, high = BUCKETS
     buckets = min(max(low, -(-estimated_bytes(docs) // BUCKET_BYTES)), high)
     model = Model(path, buckets, order)
@@ -457,7 +478,7 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
         return as_batch([*blocks(0, "words", words, [words, counts.astype(np.uint64)], buckets)])
 
     def store_words(key: tuple, table: pa.Table) -> pa.Table:
-        words, counts = _merged(table.column("block"), 1)
+        words, counts = added(_merged(table.column("block")), 1)
         rank = np.empty(len(words), np.uint64)
         rank[np.argsort(-counts.astype(np.int64), kind="stable")] = np.arange(len(words), dtype=np.uint64)
         bucket = key[0].as_py()
@@ -495,22 +516,19 @@ def train(docs: DataFrame, folder: str, order: int = ORDER) -> Model:
 
     def send_grams(held: list[np.ndarray]) -> pa.RecordBatch:
         keys = keys_of(np.concatenate(held))
-        columns = added([*keys, np.ones(len(keys[0]), np.uint64)], len(keys))
-        hashes = gram_hash(grams_of(columns[:-1], order))
+        hashes, columns = added_grams([*keys, np.ones(len(keys[0]), np.uint64)], order)
         return as_batch([*blocks(order, "grams", hashes, columns, buckets)])
 
     flow = texts.mapInArrow(count_grams, _BLOCKS)
     for k in range(order, 0, -1):
-        flow = flow.groupBy("level", "bucket").applyInArrow(_store(path, k, order, buckets), _BLOCKS)
-    sums = np.zeros((order + 1, 2, 8), np.int64)
+        flow = flow.groupBy("level", "bucket").applyInArrow(_store(path, k, buckets), _BLOCKS)
+    sums = np.zeros((order + 1, 8), np.int64)
     for row in flow.collect():  # a few numbers per order and bucket
         k = int(row.kind)
         present.add((f"grams{k}", row.bucket))
-        sums[k] += np.frombuffer(row.block, np.int64).reshape(2, 8)
-    for k in range(1, order + 1):
-        for kind in (LEFT, COUNT):
-            model.discounts[k, kind] = discounts(sums[k, kind, :4].astype(float))
-    model.bottom = {kind: tuple(int(x) for x in sums[1, kind, 4:]) for kind in (LEFT, COUNT)}
+        sums[k] += np.frombuffer(row.block, np.int64)
+    model.discounts = {k: discounts(sums[k, :4].astype(float)) for k in range(1, order + 1)}
+    model.bottom = tuple(int(x) for x in sums[1, 4:])
     model.present = frozenset(present)
     return model
 
@@ -520,45 +538,36 @@ def _counted(count: np.ndarray) -> list[np.ndarray]:
     return [count, *(count == c for c in (1, 2)), count >= 3]
 
 
-def _store(path: str, k: int, order: int, buckets: int):
+def _store(path: str, k: int, buckets: int):
     """Add up a bucket's blocks of order k, write its file, and send on what lower orders
     need. What other tasks reported is passed on."""
     width = -(-k // 2)
 
     def table(bucket: int, grams: list, contexts: list) -> list[tuple]:
-        found = _merged(grams, width) if grams else None
+        hashes, found = added_grams(_merged(grams), k) if grams else (np.zeros(0, np.uint64), None)
         rows = grams_of(found[:width], k) if grams else np.zeros((0, k), np.uint32)
-        hashes = gram_hash(rows)
         count = found[-1] if grams else np.zeros(0, np.uint64)
-        left = found[width] if grams and k < order else np.zeros(len(rows), np.uint64)
-        every, values = hashes, [left, count]
+        every = hashes
         if contexts:
-            own = _merged(contexts, width)
-            at = gram_hash(grams_of(own[:width], k))
+            at, own = added_grams(_merged(contexts), k)
             every = np.union1d(hashes, at)
             mine, theirs = np.searchsorted(every, hashes), np.searchsorted(every, at)
+            more = own[width:]
+            more[0] = more[0] - more[1] - np.uint64(2) * more[2] - np.uint64(3) * more[3]
+            values = [_placed(v, theirs, len(every)) for v in more]
+            values = [_placed(count, mine, len(every)), *values]
         else:
-            own, mine, theirs = [], slice(None), slice(None)
-        values = [_placed(v, mine, len(every)) for v in values]
-        more = [_placed(v, theirs, len(every)) for v in own[width:]]
-        none = np.zeros(len(every), np.uint64)
-        values += [none] * (8 - len(more)) + more
-        # A context's total is nearly always its count as an n-gram; the difference is kept.
-        values[AS_CONTEXT[COUNT].start] = values[AS_CONTEXT[COUNT].start] - values[COUNT]
+            values = [count, *[np.zeros(len(every), np.uint64)] * 4]
         write_table(f"{path}/grams{k}-{bucket}", every, values, bucket, buckets)
-        sums = [
-            [*((x == c).sum() for c in range(1, 5)), *(s.sum() for s in _counted(x))] for x in (left, count)
-        ]
+        sums = [*((count == c).sum() for c in range(1, 5)), *(s.sum() for s in _counted(count))]
         out = [(DONE, str(k), bucket, np.array(sums).astype(np.int64).tobytes())]
         if k > 1 and len(rows):
-            stats = [*(_counted(left) if k < order else []), *_counted(count)]
             for kind, part, numbers in (
-                ("grams", rows[:, 1:], [np.ones(len(rows)), count]),
-                ("contexts", rows[:, :-1], stats),
+                ("grams", rows[:, 1:], [np.ones(len(rows))]),
+                ("contexts", rows[:, :-1], _counted(count)),
             ):
                 keys = keys_of(part)
-                summed = added([*keys, *(v.astype(np.uint64) for v in numbers)], len(keys))
-                to = gram_hash(grams_of(summed[: len(keys)], k - 1))
+                to, summed = added_grams([*keys, *(v.astype(np.uint64) for v in numbers)], k - 1)
                 out += blocks(k - 1, kind, to, summed, buckets)
         return out
 
@@ -581,47 +590,43 @@ def _placed(values: np.ndarray, at, size: int) -> np.ndarray:
     return out
 
 
-def score(docs: DataFrame, model: Model, scores: dict[str, int] | None = None) -> DataFrame:
+ADDED = {
+    "n_tokens": T.LongType(),
+    "n_known": T.LongType(),
+    "base_score": T.DoubleType(),
+    "score": T.DoubleType(),
+}
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without ``text``, with n_tokens, n_known, base_score and score: the log10
     probabilities of the whole text by single words and by the model. Every text has its
-    end as a token at least. ``scores`` names other columns in the place of score, each with
-    the order of its model, up to the one that was counted."""
-    scores = scores or {"score": model.order}
+    end as a token at least. Columns with one of these names are replaced."""
     importable(docs.sparkSession)
-    names = [c for c in docs.columns if c != "text"]
-    fields = [f for f in docs.schema.fields if f.name != "text"]
-    added_fields = [
-        T.StructField(name, kind())
-        for name, kind in (
-            ("n_tokens", T.LongType),
-            ("n_known", T.LongType),
-            ("base_score", T.DoubleType),
-            *((name, T.DoubleType) for name in scores),
-        )
-    ]
-    schema = T.StructType([*fields, *added_fields])
+    fields = [f for f in docs.schema.fields if f.name not in ("text", *ADDED)]
+    names = [f.name for f in fields]
+    schema = T.StructType([*fields, *(T.StructField(n, kind) for n, kind in ADDED.items())])
     base = model.tokens + 0.5 * (model.types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
             for hashes, starts in tokens(batch.column("text")):
-                ids, count = model.numbered(hashes)
-                logs = model.log_probability(events(ids, starts, model.order), [*scores.values()])
+                count, logs = model.word_scores(hashes, starts)
                 heads = starts[:-1]
                 parts.append(
                     (
                         np.diff(starts),
                         np.add.reduceat((count > 0).astype(np.int64), heads),
                         np.add.reduceat(np.log10((count + 0.5) / base), heads),
-                        *(np.add.reduceat(log, heads) for log in logs),
+                        np.add.reduceat(logs, heads),
                     )
                 )
             if parts:
                 found = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(n) for n in names), *found],
-                    names=[*names, "n_tokens", "n_known", "base_score", *scores],
+                    names=[*names, *ADDED],
                 )
 
     return docs.mapInArrow(run, schema)

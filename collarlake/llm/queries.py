@@ -169,7 +169,7 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(bucket(5) == 1, F.lit(False))
     model = lm.train(docs.where(~held_out), scratch_dir(spark, "language-model"), order=3)
     docs = docs.select("doc_id", held_out.alias("held_out"), "text")
-    return lm.score(docs, model, {"score": 2, "score_3": 3}).select(
+    return lm.score(docs, model).select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -177,7 +177,6 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
-        "score_3",
     )
 
 
