@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -69,3 +73,23 @@ def test_a_dashboard_filter_reaches_the_readings(spark):
     assert ">= 2024-01-08 00:00:00" in below and "< 2024-01-22 00:00:00" in below
     # Days without a profile are filtered by name, so the left join became an inner one.
     assert "LeftOuter" not in plan_of(QUERIES["dash_filter_cat"](spark, SF_SMALL))
+
+
+def test_the_rest_works_without_the_optional_folders(tmp_path):
+    """Also with the pipeline's file still there."""
+    root = Path(entry_points.ROOT)
+    for name in ("collarlake", "parity"):
+        shutil.copytree(root / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    said = (
+        "import __spark_entry__ as e; from collarlake.session import build_session; "
+        "assert not any(n.startswith('op') for n in e.queries()) and 'pipeline' not in e.queries(); "
+        "s = build_session('t', **{'spark.master': 'local[2]', 'spark.ui.enabled': 'false'}); "
+        f"print('ROWS', e.queries()['bi'](s, '{SF_SMALL}').count())"
+    )
+    for more in ((), ("corpus_pipeline.py",)):
+        for name in more:
+            shutil.copy(root / name, tmp_path)
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        ran = subprocess.run([sys.executable, "-c", said], cwd=tmp_path, env=env, capture_output=True, text=True)
+        assert "ROWS" in ran.stdout, ran.stderr[-2000:]
