@@ -2,7 +2,8 @@
 
     python -m collarlake --root s3://lake --landing s3://landing --registry s3://registry
 
-Steps run in order; without --steps all of them do.
+Steps run in order; without --steps all of them do. Without --days and --new they rebuild
+everything.
 """
 
 from __future__ import annotations
@@ -30,7 +31,16 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--archive", help="folder that ingested files are moved to")
     parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
-    parser.add_argument("--days", nargs="+", type=_day, help=f"rebuild only these, or {UNDATED}")
+    which = parser.add_mutually_exclusive_group()
+    which.add_argument("--days", nargs="+", type=_day, help=f"rebuild only these, or {UNDATED}")
+    which.add_argument(
+        "--new", action="store_true", help="rebuild what changed since the last finished run"
+    )
+    parser.add_argument(
+        "--stop-at-bad-files",
+        action="store_true",
+        help="fail where a file of the load is damaged, instead of leaving it out by name",
+    )
     parser.add_argument("--as-of", type=date.fromisoformat, help="day ages refer to")
     parser.add_argument("--max-files-per-batch", type=int)
     return parser.parse_args(arguments)
@@ -39,17 +49,26 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parse(arguments)
     spark = build_session()
-    place = lake.Lake(args.root, args.landing, args.registry, args.archive)
+    place = lake.Lake(
+        args.root, args.landing, args.registry, args.archive, not args.stop_at_bad_files
+    )
+    days = args.days
+    if "bronze" in args.steps:
+        lake.build_bronze(spark, place, args.max_files_per_batch)
+    batch = lake.newest_batch(spark, place)
+    if args.new:
+        days = lake.days_to_build(spark, place, args.as_of)
     jobs = {
-        "bronze": lambda: lake.build_bronze(spark, place, args.max_files_per_batch),
-        "silver": lambda: lake.build_silver(spark, place, args.days),
-        "staging": lambda: lake.build_staging(spark, place, args.days),
-        "marts": lambda: lake.build_marts(spark, place, args.as_of, args.days),
-        "check": lambda: lake.require_checks(spark, place, args.days),
+        "silver": lambda: lake.build_silver(spark, place, days),
+        "staging": lambda: lake.build_staging(spark, place, days),
+        "marts": lambda: lake.build_marts(spark, place, args.as_of, days),
+        "check": lambda: lake.require_checks(spark, place, days),
     }
-    for step in STEPS:
+    for step in STEPS[1:]:
         if step in args.steps:
             jobs[step]()
+    if set(STEPS[1:]) <= set(args.steps) and args.days is None:
+        lake.commit(spark, place, batch)
 
 
 if __name__ == "__main__":

@@ -64,7 +64,7 @@ def select_days(
 
 
 def has_rows(mart: DataFrame) -> DataFrame:
-    """One row, one flag. Reads no further than the first row found."""
+    """One row, one flag. Each task reads up to its first row, and only a flag is shuffled."""
     return mart.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows"))
 
 

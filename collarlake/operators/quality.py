@@ -120,14 +120,15 @@ def check_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 WARNING = "warning: "
 
 
-def warning_report(cleaned: DataFrame, daily: DataFrame) -> DataFrame:
-    """Like ``check_report``: cleaned raw readings without a valid time, and days with more than
-    24 hours of sleep."""
+def warning_report(cleaned: DataFrame, daily: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Like ``check_report``: cleaned raw readings without a valid time, days with more than
+    24 hours of sleep, and lines that bronze could not take in whole."""
     parts = [
         _group_count(df, table, WARNING + check)
         for df, table, check in (
             (unparsed_times(cleaned), "bronze", "reading_time parsed"),
             (days_longer_than_a_day(daily), "daily_health", "sleep of a day at most"),
+            (quarantine, "bronze", "lines read whole"),
         )
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,8 @@ Fixed values: names, types and lengths are those of the files and tables to be r
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -42,13 +44,37 @@ BRONZE = StructType(
     + [StructField("ingested_at", TimestampType()), StructField("source_file", StringType())]
 )
 
-# Folders of bronze: the batch that wrote a file, and the day of its readings.
+# Folders of bronze: the day of a file's readings and, in it, the batch that wrote the file.
 BATCH = "ingest_batch"
 RAW_DAY = "reading_day"
 BRONZE_FILES = StructType(
     BRONZE.fields + [StructField(RAW_DAY, DateType()), StructField(BATCH, LongType())]
 )
 
+# Lines that could not be read, or not all of them, and what was wrong with each.
+QUARANTINE = StructType(
+    [
+        StructField("line", StringType()),
+        StructField("reason", StringType()),
+        StructField("bad_columns", ArrayType(StringType())),
+        StructField("ingested_at", TimestampType()),
+        StructField("source_file", StringType()),
+        StructField(BATCH, LongType()),
+    ]
+)
+
+# One row per ingested batch: the days of its readings and whether some have none, how many
+# readings it had, and how many lines went to quarantine.
+BATCH_LOG = StructType(
+    [
+        StructField("days", ArrayType(DateType())),
+        StructField("undated", BooleanType()),
+        StructField("n_rows", LongType()),
+        StructField("n_quarantined", LongType()),
+        StructField(BATCH, LongType()),
+    ]
+)
+
 STAGING_TELEMETRY = StructType(
     [
         _text("collar_id", 50),

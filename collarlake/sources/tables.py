@@ -32,7 +32,7 @@ def overwrite_by_day(
     """Replace a table that has a folder per day. ``day`` is a SQL expression for it.
 
     With ``days`` only their folders are replaced, and removed where ``df`` has no rows of
-    them. They are removed first: a run that stops in between is to be run again.
+    them. That is done once the new rows are in: a run that fails leaves the old ones.
 
     The rebalance step gives each day as many files of even size as its rows need: a
     day with very many rows is split, and tasks with little data are joined. It is a
@@ -43,27 +43,52 @@ def overwrite_by_day(
     if rebalance:
         rows = rows.hint("rebalance", PARTITION)
     mode = "static" if days is None else "dynamic"
-    ensure(df.sparkSession, path)
-    for one in days or ():
-        remove(df.sparkSession, f"{path}/{PARTITION}={NO_DAY if one is None else one}")
+    spark = df.sparkSession
+    ensure(spark, path)
+    folders = [day_folder(path, one) for one in days or ()]
+    before = {folder: set(files_in(spark, folder)) for folder in folders}
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(PARTITION)
         .parquet(path)
     )
+    for folder, old in before.items():
+        # A folder that was written has none of its old files.
+        if old and old & set(files_in(spark, folder)):
+            remove(spark, folder)
+
+
+def day_folder(path: str, day: date | None, column: str = PARTITION) -> str:
+    return f"{path.rstrip('/')}/{column}={NO_DAY if day is None else day}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, system = _file_system(spark, path)
+    return system.exists(where)
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such folder."""
+    where, system = _file_system(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(where)] if system.exists(where) else []
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    where, system = _file_system(spark, path)
+    system.delete(where, True)
 
 
 def ensure(spark: SparkSession, path: str) -> None:
     """Make the folder of a table that may get no rows."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+    where, system = _file_system(spark, path)
+    system.mkdirs(where)
 
 
 def on_days(

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from collarlake.schemas import BRONZE, BRONZE_FILES, RAW_DAY, STAGING_TELEMETRY
-from collarlake.sources.tables import on_days
+from collarlake.sources.loads import without
+from collarlake.sources.tables import day_folder, exists, on_days
 
 # Staging column -> silver column, where the names differ.
 RENAMED = {"reading_time": "parsed_reading_time"}
@@ -29,11 +30,17 @@ class Load(NamedTuple):
 def read_bronze(
     spark: SparkSession, path: str, days: Collection[date | None] | None = None
 ) -> DataFrame:
-    """Bronze as a batch, or only the given days of it; other days' folders are not opened.
-    None among the days stands for readings without a valid time."""
-    return on_days(spark.read.schema(BRONZE_FILES).parquet(path), days, RAW_DAY).select(
-        *BRONZE.names
-    )
+    """Bronze as a batch, or only the given days of it; other days' folders are not even
+    listed. None among the days stands for readings without a valid time."""
+    reader = spark.read.schema(BRONZE_FILES)
+    if days is None:
+        return reader.parquet(path).select(*BRONZE.names)
+    folders = [day_folder(path, day, RAW_DAY) for day in days]
+    folders = [folder for folder in folders if exists(spark, folder)]
+    if not folders:
+        return spark.createDataFrame([], BRONZE)
+    rows = reader.option("basePath", path).parquet(*folders)
+    return on_days(rows, days, RAW_DAY).select(*BRONZE.names)
 
 
 def _source(df: DataFrame, field: StructField) -> StructField | None:
@@ -75,14 +82,17 @@ def split_load(df: DataFrame, counts: Observation | None = None) -> Load:
     ``df`` has the silver columns and, as ``ingested_at`` and ``source_file``, the load
     time and file name, which replace those of bronze. Columns that a file lacks are NULL.
 
-    ``counts`` gets the number of rows ``rejected`` once ``loaded`` was written. It is
-    counted on the way, so the files need a second pass only if there are any.
+    ``counts`` gets the number of ``rows`` and of those ``rejected`` once ``loaded`` was written.
+    They are counted on the way, so the files need a second pass only if there are any.
     """
     fields = list(STAGING_TELEMETRY)
     tests = {f.name: _does_not_fit(df, f) for f in fields}
     tests = {name: test for name, test in tests.items() if test is not None}
     fails = reduce(or_, tests.values())
-    observed = df if counts is None else df.observe(counts, F.count_if(fails).alias("rejected"))
+    observed = df
+    if counts is not None:
+        rows, rejected = F.count(F.lit(1)).alias("rows"), F.count_if(fails).alias("rejected")
+        observed = df.observe(counts, rows, rejected)
     loaded = observed.filter(~fails).select(*(_typed(df, f).alias(f.name) for f in fields))
     reasons = F.array(*(F.when(test, F.lit(name)) for name, test in tests.items()))
     rejected = df.filter(fails).select(
@@ -104,17 +114,14 @@ def load_telemetry(
     path: str,
     days: Collection[date | None] | None = None,
     counts: Observation | None = None,
-    skip_corrupt_files: bool = False,
+    skip: Collection[str] = (),
     schema: StructType | None = None,
 ) -> Load:
     """Load silver files. Records that do not fit do not stop the load.
 
-    ``days`` limits the load to silver's folders of these days. With
-    ``skip_corrupt_files`` files that cannot be read do not stop it either. Spark then
-    takes any failure to read for a corrupt file, a lost connection too, and the rest of
-    that file is missing from the load; so it is off unless asked for. ``schema`` is that
-    of silver, which an empty table cannot tell.
+    ``days`` limits the load to silver's folders of these days. The files named in ``skip``
+    are left out: ``loads.bad_files`` finds those that are damaged. Any other file that cannot be
+    read stops the load. ``schema`` is that of silver, which an empty table cannot tell.
     """
-    reader = spark.read.option("ignoreCorruptFiles", skip_corrupt_files)
-    silver = (reader if schema is None else reader.schema(schema)).parquet(path)
-    return split_load(with_load_audit(on_days(silver, days)), counts)
+    silver = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    return split_load(with_load_audit(without(on_days(silver, days), skip)), counts)

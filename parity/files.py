@@ -96,6 +96,59 @@ def stream_incremental_files(spark, sf_dir):
     return rows.groupBy(wave.alias("first_wave")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+MISTYPED = "coalesce(activity_level is null and battery_level_pct < 0, false)"
+BROKEN = "coalesce(activity_level is null and battery_level_pct > 100, false)"
+DAMAGED = f"(select *, {MISTYPED} as mistyped, {BROKEN} as broken from raw)"
+
+
+@query(
+    "src_stream_quarantine",
+    f"""select 'bronze' as place, case when not broken then collar_id end as collar_id,
+               case when not broken then reading_time end as reading_time,
+               case when not broken and not mistyped then steps_count end as steps_count,
+               null as reason, null as bad_columns
+        from {DAMAGED}
+        union all
+        select 'quarantine', collar_id, reading_time, null,
+               case when broken then 'broken' else 'mistyped' end,
+               case when mistyped then 'steps_count' end
+        from {DAMAGED} where broken or mistyped""",
+)
+def src_stream_quarantine(spark, sf_dir):
+    """Lines cut off at the end, and lines with a step count that is no number. Bronze has a row
+    for each line; quarantine has the damaged ones with their text and what is wrong."""
+    root = scratch_dir(spark, "stream-quarantine")
+    raw = adapter.raw(spark, sf_dir)
+    line = F.to_json(F.struct(*RAW_TELEMETRY.names))
+    mistyped = F.regexp_replace(line, r'"steps_count":-?\d+', '"steps_count":"many"')
+    cut = F.expr("substring(line, 1, length(line) - 1)")
+    lines = raw.withColumn("line", F.when(F.expr(MISTYPED), mistyped).otherwise(line))
+    lines.select(F.when(F.expr(BROKEN), cut).otherwise(F.col("line"))).write.text(f"{root}/landing")
+    bronze.ingest(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint")
+    nothing = F.lit(None).cast("string")
+    good = telemetry.read_bronze(spark, f"{root}/bronze").select(
+        F.lit("bronze").alias("place"),
+        "collar_id",
+        "reading_time",
+        "steps_count",
+        nothing.alias("reason"),
+        nothing.alias("bad_columns"),
+    )
+
+    def from_line(name: str):
+        return F.nullif(F.regexp_extract("line", rf'"{name}":"([^"]*)"', 1), F.lit(""))
+
+    kept = bronze.read_quarantine(spark, f"{root}/bronze").select(
+        F.lit("quarantine"),
+        from_line("collar_id"),
+        from_line("reading_time"),
+        F.lit(None).cast("int"),
+        "reason",
+        F.array_join("bad_columns", ","),
+    )
+    return good.union(kept)
+
+
 @query("src_bronze", "select * from raw")
 def src_bronze(spark, sf_dir):
     path = scratch_dir(spark, "bronze")
@@ -193,6 +246,93 @@ def load_parquet_rejected(spark, sf_dir):
     )
 
 
+def _silver_by_day(spark: SparkSession, sf_dir: str, place: lake.Lake) -> DataFrame:
+    silver = adapter.silver_table(spark, sf_dir)
+    tables.overwrite_by_day(silver, place.path("silver"), "cast(parsed_reading_time as date)")
+    write_csv(adapter.registry_text(spark, sf_dir), place.registry)
+    return silver
+
+
+def _place(spark: SparkSession, label: str) -> lake.Lake:
+    root = scratch_dir(spark, label)
+    return lake.Lake(root, f"{root}/landing", f"{root}/registry")
+
+
+STAGED = """select collar_id, cat_id, parsed_reading_time as reading_time, heart_rate_bpm,
+                   activity_level, steps_count, purr_frequency_hz, ambient_temp_c,
+                   battery_level_pct from silver"""
+
+
+def _staged(spark: SparkSession, place: lake.Lake) -> DataFrame:
+    rows = lake.read(spark, place, "staging_telemetry")
+    return rows.drop("ingested_at", "source_file", lake.DAY)
+
+
+@query(
+    "load_skipped_files",
+    f"""select *, null as skipped from ({STAGED})
+        union all
+        select null, null, cast(min(parsed_reading_time) as date), null, null, null, null, null,
+               null, 'no mark at its beginning' from silver""",
+)
+def load_skipped_files(spark, sf_dir):
+    """A day's folder also has a file of readings that is no Parquet file. It is left out and
+    named, here with the file's day as the time; all other files are loaded."""
+    place = _place(spark, "load-skipped")
+    silver = _silver_by_day(spark, sf_dir, place)
+    first = silver.agg(F.min("parsed_reading_time").cast("date")).first()[0]
+    day = silver.filter(F.col("parsed_reading_time").cast("date") == F.lit(first))
+    bad = day.select(F.to_json(F.struct("collar_id", "cat_id"))).coalesce(1)
+    bad.write.mode("append").text(tables.day_folder(place.path("silver"), first))
+    lake.build_staging(spark, place)
+    skipped = lake.skipped_files(spark, place).select(
+        F.col(lake.DAY).cast("timestamp").alias("reading_time"), "skipped"
+    )
+    return _staged(spark, place).unionByName(skipped, allowMissingColumns=True)
+
+
+CHANGED_DAY = "(select max(cast(parsed_reading_time as date)) from silver)"
+
+
+@query(
+    "load_once",
+    f"""select load_id, table_name,
+               case when table_name = 'staging_registry'
+                    then case when load_id = 1 then (select count(*) from registry) else 0 end
+                    when load_id = 1 then (select count(*) from silver)
+                    when load_id = 2 then 0
+                    else (select count(*) from silver
+                          where cast(parsed_reading_time as date) = {CHANGED_DAY}
+                          and steps_count > 0) end as rows_loaded,
+               (select count(*) from silver
+                where load_id < 3 or steps_count > 0
+                or cast(parsed_reading_time as date) is distinct from {CHANGED_DAY}) as staged_rows
+        from (select unnest([1, 2, 3]) as load_id),
+             (select unnest(['staging_telemetry', 'staging_registry']) as table_name)""",
+)
+def load_once(spark, sf_dir):
+    """Three loads: of everything, of nothing new, and of one day whose files were replaced. What
+    each loaded, by the history, and the staged rows after it."""
+    place = _place(spark, "load-once")
+    silver = _silver_by_day(spark, sf_dir, place)
+    last = silver.agg(F.max("parsed_reading_time").cast("date")).first()[0]
+    staged = []
+    for load in (1, 2, 3):
+        if load == 3:
+            day = silver.filter(F.col("parsed_reading_time").cast("date") == F.lit(last))
+            tables.overwrite_by_day(
+                day.filter("steps_count > 0"),
+                place.path("silver"),
+                "cast(parsed_reading_time as date)",
+                days=[last],
+            )
+        lake.build_staging(spark, place)
+        staged.append((load, _staged(spark, place).count()))
+    after = spark.createDataFrame(staged, "load_id long, staged_rows long")
+    history = lake.load_history(spark, place).join(after, "load_id")
+    return history.select("load_id", "table_name", "rows_loaded", "staged_rows")
+
+
 @query(
     "load_audit_cols",
     "select collar_id, parsed_reading_time as reading_time, true as new_time, true as new_file from silver",
@@ -273,16 +413,41 @@ def lake_build(spark, sf_dir):
     """The whole chain over files. The readings arrive in two waves such that each key's
     latest one comes in the second, so that "latest wins" is decided by the chain; then
     those once more. All checks must pass on the tables that result."""
-    root = scratch_dir(spark, "lake")
-    place = lake.Lake(root, f"{root}/landing", f"{root}/registry")
+    place = _place(spark, "lake")
     write_csv(adapter.registry_text(spark, sf_dir), place.registry)
+    latest = _earlier_ingested(spark, sf_dir, place)
+    for _ in range(2):
+        write_json(latest, place.landing)
+        lake.build_bronze(spark, place)
+    return lake.run(spark, place, adapter.AS_OF)
+
+
+def _earlier_ingested(spark: SparkSession, sf_dir: str, place: lake.Lake) -> DataFrame:
+    """Ingest all readings but the latest one of each key, and return those."""
     raw = adapter.raw(spark, sf_dir)
     # What the chain calls one reading: times that cannot be parsed are alike.
     keyed = raw.withColumn("time", parse_reading_time(F.col("reading_time")))
     latest = latest_row(keyed, ("collar_id", "time"), ("ingested_at", "source_file"))
     write_json(keyed.exceptAll(latest).drop("time"), place.landing)
     lake.build_bronze(spark, place)
-    for _ in range(2):
-        write_json(latest.drop("time"), place.landing)
-        lake.build_bronze(spark, place)
+    return latest.drop("time")
+
+
+@query("lake_changes", "select * from bi")
+def lake_changes(spark, sf_dir):
+    """The chain over files that change between runs: the first registry lacks some animals
+    and has other weights, and half of the latest readings come late. The second run is not
+    told any day; it must find what changed, and end where a full build does."""
+    place = _place(spark, "lake-changes")
+    latest = _earlier_ingested(spark, sf_dir, place)
+    late = F.coalesce(F.col("activity_level") == "sleep", F.lit(False))
+    write_json(latest.filter(~late), place.landing)
+    cats = adapter.registry_text(spark, sf_dir)
+    gone = F.coalesce(F.col("weight_lbs").cast("double") > 18, F.lit(False))
+    other = F.when(F.col("gender") == "MALE", "5.5").otherwise(F.col("weight_lbs"))
+    first = lake.Lake(place.root, place.landing, f"{place.root}/registry-before")
+    write_csv(cats.filter(~gone).withColumn("weight_lbs", other), first.registry)
+    lake.run(spark, first, adapter.AS_OF)
+    write_json(latest.filter(late), place.landing)
+    write_csv(cats, place.registry)
     return lake.run(spark, place, adapter.AS_OF)

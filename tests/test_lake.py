@@ -125,6 +125,139 @@ def test_rebuilt_days_without_rows_are_removed(spark, place, tmp_path):
         assert lake.read(spark, place, table).where("cat_id = 'C2'").count() == 0
 
 
+def everything(spark, place):
+    """The marts' rows, whatever files they are in."""
+    names = ("dim_cats", "fact_readings", "daily_health", "bi_flat")
+    return {name: sorted(map(str, lake.read(spark, place, name).collect())) for name in names}
+
+
+def fresh(spark, place, tmp_path, name):
+    """The marts of another lake that is built at once from the same files."""
+    other = replace(place, root=str(tmp_path / name))
+    lake.run(spark, other, AS_OF)
+    return everything(spark, other)
+
+
+def test_a_run_finds_the_days_that_changed(spark, place, tmp_path):
+    lake.run(spark, place, AS_OF)
+    assert lake.days_to_build(spark, place, AS_OF) == set()
+    before = {name: files(spark, place, name) for name in ("fact_readings", "bi_flat", "silver")}
+    drop_file(
+        tmp_path / "landing",
+        "late.json",
+        reading("C1", 2, 0, steps_count=150),
+        reading("C2", 2, 0),
+        reading("C2", 9, 0),
+        reading("C2", 2, 0, reading_time="2026-05-02 99:00:00"),
+    )
+    lake.build_bronze(spark, place)
+    assert lake.days_to_build(spark, place, AS_OF) == {date(2026, 5, 2), date(2026, 5, 9), None}
+    lake.run(spark, place, AS_OF)
+    assert everything(spark, place) == fresh(spark, place, tmp_path, "other")
+    for name, old in before.items():
+        assert {f for f in old if f[0] == "2026-05-01"} <= files(spark, place, name)
+    history = [tuple(r) for r in lake.load_history(spark, place).sort("load_id").select("table_name", "rows_loaded").collect()]
+    # Of 2 May 10 + 1 readings, one of 9 May, and the two without a valid time.
+    assert history[2:] == [("staging_telemetry", 14), ("staging_registry", 0)] or history[2:] == [
+        ("staging_registry", 0), ("staging_telemetry", 14),
+    ]
+
+
+def test_a_run_over_named_days_leaves_the_rest_to_the_next(spark, place, tmp_path):
+    lake.run(spark, place, AS_OF)
+    drop_file(tmp_path / "landing", "late.json", reading("C2", 1, 5), reading("C2", 2, 5))
+    lake.run(spark, place, AS_OF, days=[date(2026, 5, 2)])
+    assert lake.days_to_build(spark, place, AS_OF) == {date(2026, 5, 1), date(2026, 5, 2)}
+    lake.run(spark, place, AS_OF)
+    assert everything(spark, place) == fresh(spark, place, tmp_path, "other")
+
+
+def test_a_registry_that_changes_reaches_all_days(spark, place, tmp_path):
+    """One animal gets another weight, one leaves, one comes whose readings were dropped."""
+    lake.run(spark, place, AS_OF)
+    before = files(spark, place, "fact_readings")
+    cats = tmp_path / "registry" / "cats.csv"
+    cats.write_text(
+        f"{HEADER}\nC1,Tom,Tabby,MALE,2023-02-03,14.5,O1,2024-01-01\n"
+        "C2,Kit,NULL,Female,2025-02-03,16,O1,2024-01-01\n"
+    )
+    drop_file(tmp_path / "landing", "new.json", reading("C1", 9, 0))
+    mart = lake.run(spark, place, AS_OF)
+    assert {r.weight_category for r in mart.where("cat_id = 'C1'").collect()} == {"overweight"}
+    assert everything(spark, place) == fresh(spark, place, tmp_path, "second")
+    assert before < files(spark, place, "fact_readings")  # readings of other days were not touched
+
+    cats.write_text(
+        f"{HEADER}\nC1,Tom,Tabby,MALE,2023-02-03,14.5,O1,2024-01-01\n"
+        "X,Max,Tabby,male,2022-02-03,7,O1,2024-01-01\n"
+    )
+    lake.build_bronze(spark, place)
+    assert lake.days_to_build(spark, place, AS_OF) == {date(2026, 5, 1)}
+    lake.run(spark, place, AS_OF)
+    assert everything(spark, place) == fresh(spark, place, tmp_path, "third")
+
+
+def test_a_lost_mark_means_a_full_build(spark, place, tmp_path):
+    lake.run(spark, place, AS_OF)
+    tables.remove(spark, place.path("progress"))
+    assert lake.days_to_build(spark, place, AS_OF) is None
+    lake.run(spark, place, AS_OF)
+    assert lake.days_to_build(spark, place, AS_OF) == set()
+
+
+def test_a_damaged_file_is_left_out_and_named(spark, place, tmp_path):
+    lake.run(spark, place, AS_OF)
+    day = tmp_path / "lake" / "silver" / "reading_date=2026-05-02"
+    good = next(day.glob("part-*.parquet"))
+    (day / "part-cut.snappy.parquet").write_bytes(good.read_bytes()[:-100])
+    lake.build_staging(spark, place)
+    (row,) = lake.skipped_files(spark, place).collect()
+    assert row.path.endswith("reading_date=2026-05-02/part-cut.snappy.parquet")
+    assert (row.skipped, row.reading_date) == ("no mark at its end", date(2026, 5, 2))
+    assert lake.read(spark, place, "staging_telemetry").count() == 22
+    last = lake.load_history(spark, place).sort(F.desc("load_id")).where("table_name = 'staging_telemetry'").first()
+    assert (last.rows_loaded, last.files_loaded, last.files_skipped) == (10, 1, 1)
+    # The load does not look at it again; one that may not leave files out fails.
+    lake.build_staging(spark, place)
+    assert lake.skipped_files(spark, place).count() == 1
+    (day / "part-cut2.snappy.parquet").write_bytes(good.read_bytes()[:-100])
+    with pytest.raises(Exception, match="part-cut"):
+        lake.build_staging(spark, replace(place, skip_bad_files=False))
+    assert lake.read(spark, place, "staging_telemetry").count() == 22
+
+
+def test_a_file_is_loaded_once(spark, place, tmp_path):
+    lake.run(spark, place, AS_OF)
+    before = files(spark, place, "staging_telemetry")
+    lake.build_staging(spark, place)
+    assert files(spark, place, "staging_telemetry") == before
+    # A file that is replaced takes its old rows with it.
+    drop_file(tmp_path / "landing", "more.json", reading("C1", 2, 0, steps_count=7), reading("C1", 2, 20))
+    lake.build_bronze(spark, place)
+    lake.build_silver(spark, place, [date(2026, 5, 2)])
+    lake.build_staging(spark, place)
+    after = files(spark, place, "staging_telemetry")
+    assert {f for f in before if f[0] != "2026-05-02"} == {f for f in after if f[0] != "2026-05-02"}
+    staged = lake.read(spark, place, "staging_telemetry").where("reading_date = '2026-05-02'")
+    assert staged.count() == 11 and staged.where("steps_count = 7").count() == 1
+    # Without the table itself nothing counts as loaded.
+    tables.remove(spark, place.path("staging_telemetry"))
+    lake.build_staging(spark, place)
+    assert lake.read(spark, place, "staging_telemetry").count() == 23
+
+
+def test_a_write_that_fails_leaves_the_old_days(spark, tmp_path):
+    path, day = str(tmp_path / "t"), date(2026, 5, 1)
+    old = spark.range(3).withColumn("reading_date", F.lit(day))
+    tables.overwrite_by_day(old, path, "reading_date")
+    bad = old.withColumn("id", F.raise_error(F.concat(F.lit("no "), "id")).cast("long"))
+    with pytest.raises(Exception, match="no "):
+        tables.overwrite_by_day(bad, path, "reading_date", days=[day])
+    assert tables.read(spark, path).count() == 3
+    tables.overwrite_by_day(old.limit(0), path, "reading_date", days=[day])
+    assert tables.read(spark, path, old.schema).count() == 0
+
+
 def test_rejected_rows_of_other_days_stay(spark, place, tmp_path):
     long = "K" * 60
     for day in (1, 2):

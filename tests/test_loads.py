@@ -9,7 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from collarlake.schemas import STAGING_REGISTRY, STAGING_TELEMETRY
-from collarlake.sources import tables
+from collarlake.sources import loads, tables
 from collarlake.sources.registry import load_registry, read_registry_csv
 from collarlake.sources.telemetry import load_telemetry
 from tests.conftest import rows
@@ -130,13 +130,19 @@ def test_a_missing_column_is_null(spark, tmp_path):
     assert {r.purr_frequency_hz for r in load.loaded.collect()} == {None}
 
 
-def test_an_unreadable_file_is_skipped_only_if_asked_for(spark, tmp_path):
+def test_an_unreadable_file_is_left_out_only_if_named(spark, tmp_path):
     silver_files(spark, tmp_path / "s")
     (tmp_path / "s" / "part-broken.snappy.parquet").write_bytes(b"PAR1 not parquet PAR1")
-    load = load_telemetry(spark, str(tmp_path / "s"), skip_corrupt_files=True)
+    path = str(tmp_path / "s")
+    schema = spark.read.parquet(str(next((tmp_path / "s").glob("part-0*.parquet")))).schema
+    bad = loads.bad_files(spark, path, schema)
+    assert [(p.rpartition("/")[2], why) for p, why in bad] == [
+        ("part-broken.snappy.parquet", "footer longer than the file")
+    ]
+    load = load_telemetry(spark, path, skip=[p for p, _ in bad], schema=schema)
     assert load.loaded.count() == 3
     with pytest.raises(Exception, match="part-broken"):
-        load_telemetry(spark, str(tmp_path / "s")).loaded.collect()
+        load_telemetry(spark, path, schema=schema).loaded.collect()
 
 
 def test_audit_counts_rows(spark, tmp_path):

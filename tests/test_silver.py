@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 from collarlake.operators.joins import join_profiles, salted
 from collarlake.operators.latest import latest_row
-from collarlake.plans.silver import clean, days_touched, dedup_latest, readings_on, silver
+from collarlake.plans.silver import clean, dedup_latest, readings_on, silver
 from collarlake.schemas import BRONZE
 from tests.conftest import plan_of, rows
 
@@ -203,8 +203,6 @@ def test_days_filter_reaches_the_reader(spark, tmp_path):
     assert sorted(r.reading_time[:10] for r in some.collect()) == ["2026-05-02", "2026-05-04"]
     assert "GreaterThanOrEqual(reading_time,2026-05-02)" in plan_of(some)
     assert "LessThan(reading_time,2026-05-05)" in plan_of(some)
-    touched = rows(days_touched(stored, EARLY))
-    assert set(touched) == {*((date(2026, 5, d),) for d in (1, 2, 3)), (None,)}
 
 
 def test_undated_readings_are_a_day_of_their_own(spark):

@@ -10,10 +10,12 @@ import pytest
 
 from collarlake import __main__ as command
 from collarlake import sizing
+from collarlake.plans import lake
 from collarlake.sources import tables
 from collarlake.workspace import scratch_dir
 from tests.conftest import plan_of
-from tests.test_lake import place  # noqa: F401
+from tests.test_lake import place, reading  # noqa: F401
+from tests.test_streaming import drop_file
 
 TB = 1024**4
 
@@ -59,7 +61,7 @@ def test_no_broadcast_is_forced():
             assert word not in text, (file, word)
 
 
-def test_command_runs_the_steps_in_order(spark, place, monkeypatch):  # noqa: F811
+def test_command_runs_the_steps_in_order(spark, place, tmp_path, monkeypatch):  # noqa: F811
     monkeypatch.setattr(command, "build_session", lambda: spark)
     where = ["--root", place.root, "--landing", place.landing, "--registry", place.registry]
     command.main([*where, "--steps", "staging", "silver", "bronze"])
@@ -68,6 +70,13 @@ def test_command_runs_the_steps_in_order(spark, place, monkeypatch):  # noqa: F8
     assert mart.count() == 4
     command.main([*where, "--days", "2026-05-01", "--as-of", "2026-06-01"])
     assert tables.read(spark, place.path("bi_flat")).count() == 4
+    # What is new is found without naming days; a full build comes first.
+    command.main([*where, "--new", "--as-of", "2026-06-01"])
+    assert lake.days_to_build(spark, place, date(2026, 6, 1)) == set()
+    drop_file(tmp_path / "landing", "new.json", reading("C1", 7, 0))
+    command.main([*where, "--new", "--as-of", "2026-06-01"])
+    assert tables.read(spark, place.path("bi_flat")).count() == 5
+    assert command.parse([*where, "--stop-at-bad-files"]).stop_at_bad_files
     days = command.parse([*where, "--days", "2026-05-01", "undated"]).days
     assert days == [date(2026, 5, 1), None]
 

@@ -14,8 +14,12 @@ from pyspark.sql.types import StructField, StructType
 from collarlake.schemas import BRONZE, RAW_TELEMETRY
 from collarlake.sources.telemetry import read_bronze
 from collarlake.streaming.bronze import (
+    batches,
+    days_of_batches,
     ingest,
     read_landing,
+    read_log,
+    read_quarantine,
     start_bronze,
     with_ingest_audit,
     write_batch,
@@ -82,6 +86,62 @@ def test_the_schema_is_fixed(spark, tmp_path):
     assert all(out[None][name] is None for name in RAW_TELEMETRY.names)
 
 
+def test_lines_that_cannot_be_read_are_kept_with_their_text(spark, tmp_path):
+    landing, bronze, checkpoint = places(tmp_path)
+    drop_file(landing, "a.json", reading("K1"), reading("K2", steps_count="many", colour="black"))
+    drop_file(landing, "b.json", '{"collar_id": "K3"', "no json", reading("K4", heart_rate_bpm=[1]))
+    ingest(spark, str(landing), bronze, checkpoint)
+    assert read_bronze(spark, bronze).count() == 5
+    found = {r.line: r for r in read_quarantine(spark, bronze).collect()}
+    assert {r.reason for r in found.values()} == {"broken", "mistyped"}
+    cut = found['{"collar_id": "K3"']
+    assert (cut.reason, cut.bad_columns) == ("broken", None)
+    assert cut.source_file.endswith("b.json") and cut.ingested_at is not None
+    assert found["no json"].reason == "broken"
+    bad = {tuple(r.bad_columns) for r in found.values() if r.reason == "mistyped"}
+    assert bad == {("steps_count",), ("heart_rate_bpm",)} and len(found) == 4
+    # Batches without such lines add nothing.
+    drop_file(landing, "c.json", reading("K5"))
+    ingest(spark, str(landing), bronze, checkpoint)
+    assert read_quarantine(spark, bronze).count() == 4
+
+
+def test_no_quarantine_without_broken_lines(spark, tmp_path):
+    landing, bronze, checkpoint = places(tmp_path)
+    drop_file(landing, "a.json", reading("K1"))
+    ingest(spark, str(landing), bronze, checkpoint)
+    assert read_quarantine(spark, bronze).collect() == []
+
+
+def test_the_log_names_the_days_of_each_batch(spark, tmp_path):
+    landing, bronze, checkpoint = places(tmp_path)
+    for name, times in (
+        ("a", ["2026-05-01 10:00:00", "2026-05-03 10:00:00"]),
+        ("b", ["2026-05-03 11:00:00", "bad"]),
+        ("c", []),
+    ):
+        drop_file(landing, f"{name}.json", *(reading("K", reading_time=t) for t in times))
+        ingest(spark, str(landing), bronze, checkpoint)
+    first, third = date(2026, 5, 1), date(2026, 5, 3)
+    assert batches(spark, bronze) == [0, 1, 2] and batches(spark, bronze, 1) == [2]
+    assert days_of_batches(spark, bronze) == {first, third, None}
+    assert days_of_batches(spark, bronze, 0) == {third, None}
+    assert days_of_batches(spark, bronze, 1) == days_of_batches(spark, bronze, 2) == set()
+    log = {r.ingest_batch: (r.n_rows, r.n_quarantined) for r in read_log(spark, bronze).collect()}
+    assert log == {0: (2, 0), 1: (2, 0), 2: (0, 0)}
+
+
+def test_a_batch_adds_few_files_to_a_day(spark, tmp_path):
+    """However many files and tasks it came in."""
+    landing, bronze, checkpoint = places(tmp_path)
+    for n in range(16):
+        times = (f"2026-05-{day:02d} {n:02d}:00:00" for day in range(1, 11))
+        drop_file(landing, f"{n}.json", *(reading("K", reading_time=t) for t in times))
+    ingest(spark, str(landing), bronze, checkpoint)
+    written = list((tmp_path / "bronze").rglob("part-*.parquet"))
+    assert len(written) == 10 and read_bronze(spark, bronze).count() == 160
+
+
 def test_ingested_files_can_be_archived(spark, tmp_path):
     landing, bronze, checkpoint = places(tmp_path)
     archive = tmp_path / "archive"
@@ -144,6 +204,9 @@ def test_a_day_is_read_without_the_others(spark, tmp_path):
     assert len(read) == 1 and read[0].source_file.endswith("2.json")
     assert read_bronze(spark, bronze, [None]).count() == 5
     assert read_bronze(spark, bronze, [None, date(2026, 5, 5)]).count() == 8
+    assert read_bronze(spark, bronze, [date(2026, 6, 1)]).count() == 0
+    # Other days' folders are not even listed.
+    assert re.search(r"\(1 paths\)\[[^]]*reading_day=2026-05-02\]", plan_of(one))
 
 
 def test_scratch_is_in_the_shared_folder_and_new_each_time(spark):
