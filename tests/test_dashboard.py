@@ -146,6 +146,28 @@ def test_checks_return_what_fails(spark):
     assert rows(quality.orphan_values(df, cats, "cat_id")) == [("X", 2)]
 
 
+def test_checks_by_fingerprints(spark):
+    """Nulls, repeats, failures and orphans, each in one pass."""
+    columns = "reading_id string, cat_id string, heart_rate_bpm int"
+    data = [("a", "C", 251), ("a", "C", 250), ("a", "X", 9), (None, "X", -2), (None, None, -1), ("b", "X", 0)]
+    df = spark.createDataFrame(data, columns)
+    bad = quality._impossible_heart_rate()
+    *found, content = quality.unique_check(df, "reading_id", bad)
+    assert found == [2, 1, 2] and content.rows == 4
+    cats = spark.createDataFrame([("C",), ("C",), (None,)], "cat_id string")
+    assert quality.fact_check(df, "reading_id", cats, "cat_id") == (2, 1, 1, content)
+    # The content is that of the values, in whatever order, and not of others as many.
+    again = spark.createDataFrame(data[::-1], columns)
+    assert quality.unique_check(again, "reading_id")[3] == content
+    for other in ([("c", "C", 1)] * 4, data[:2] + [("b", "X", 0)] * 2, data[1:]):
+        odd = spark.createDataFrame(other, columns)
+        assert quality.unique_check(odd, "reading_id")[3] != content
+        assert quality.fact_check(odd, "reading_id", cats, "cat_id")[3] != content
+    *none, empty = quality.unique_check(df.limit(0), "reading_id", bad)
+    assert none == [0, 0, 0] and empty == (0, 0, 0)
+    assert quality.fact_check(df.limit(0), "reading_id", cats, "cat_id") == (0, 0, 0, empty)
+
+
 def test_orphans_are_counted_before_the_join(spark):
     df = spark.createDataFrame([("X",)], "cat_id string")
     plan = plan_of(quality.orphan_values(df, df, "cat_id"))
