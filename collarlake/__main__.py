@@ -41,6 +41,9 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         action="store_true",
         help="fail where a file of the load is damaged, instead of leaving it out by name",
     )
+    parser.add_argument(
+        "--compact", action="store_true", help="join the folders of bronze's batches first"
+    )
     parser.add_argument("--as-of", type=date.fromisoformat, help="day ages refer to")
     parser.add_argument("--max-files-per-batch", type=int)
     return parser.parse_args(arguments)
@@ -55,6 +58,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     days = args.days
     if "bronze" in args.steps:
         lake.build_bronze(spark, place, args.max_files_per_batch)
+    if args.compact:
+        lake.compact_bronze(spark, place)
     batch = lake.newest_batch(spark, place)
     if args.new:
         days = lake.days_to_build(spark, place, args.as_of)

@@ -44,6 +44,20 @@ def filter_cat(mart: DataFrame, name: str = k.ALL_CATS, cat_id: str | None = Non
     return mart
 
 
+# More ids than this are no filter that a scan can use to skip files.
+MOST_IDS = 1000
+
+
+def filter_named(mart: DataFrame, cats: DataFrame, name: str) -> DataFrame:
+    """Days of all cats of a name, found by their ids: the dimension is small beside the mart,
+    whose files are ordered by id and can be skipped by it. A name that very many cats have
+    is filtered as a name."""
+    ids = [row[0] for row in cats.filter(F.col("cat_name") == name).select("cat_id").take(MOST_IDS + 1)]
+    if len(ids) > MOST_IDS:
+        return filter_cat(mart, name)
+    return mart.filter(F.col("cat_id").isin(ids) & (F.col("cat_name") == name))
+
+
 def select_days(
     mart: DataFrame,
     first: date | None = None,
@@ -176,3 +190,44 @@ def heart_rate_anomalies(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("cardiac_status") != "normal").select(
         "reading_id", "cat_id", "reading_time", "heart_rate_bpm", "cardiac_status"
     )
+
+
+# An excursion is further from the middle half of the baseline than this many times its width.
+FENCE = 1.5
+# Fewer readings are no baseline.
+LEAST_READINGS = 8
+# Readings of an animal up to this number are kept exactly; a sketch of more is as good as
+# this many allow, and of a bounded size.
+SKETCH = 1024
+
+
+def heart_baselines(fact: DataFrame, until: date) -> DataFrame:
+    """Each animal's heart rate before a day: readings, quartiles. Sketches are merged per
+    task before the shuffle, so an animal with very many readings sends a few."""
+    rate = F.col("heart_rate_bpm")
+    before = fact.filter((rate > 0) & (F.to_date("reading_time") < F.lit(until)))
+    sketch = F.kll_sketch_agg_bigint(rate.cast("long"), F.lit(SKETCH))
+    one = before.groupBy("cat_id").agg(F.count(F.lit(1)).alias("n_readings"), sketch.alias("_s"))
+
+    def quantile(rank: float):
+        return F.kll_sketch_get_quantile_bigint("_s", F.lit(rank))
+
+    return one.filter((F.col("n_readings") >= LEAST_READINGS) & F.col("cat_id").isNotNull()).select(
+        "cat_id",
+        "n_readings",
+        quantile(0.25).alias("low_quartile"),
+        quantile(0.5).alias("median"),
+        quantile(0.75).alias("high_quartile"),
+    )
+
+
+def heart_rate_excursions(fact: DataFrame, since: date) -> DataFrame:
+    """Readings from a day on that are far from the animal's own baseline, that of the days
+    before. Animals without a baseline have none."""
+    rate = F.col("heart_rate_bpm")
+    later = fact.filter((rate > 0) & (F.to_date("reading_time") >= F.lit(since)))
+    width = (F.col("high_quartile") - F.col("low_quartile")) * F.lit(FENCE)
+    far = (rate < F.col("low_quartile") - width) | (rate > F.col("high_quartile") + width)
+    return later.join(heart_baselines(fact, since), "cat_id").filter(far).select(
+        "reading_id", "cat_id", "reading_time", "heart_rate_bpm", "median", "n_readings"
+    )

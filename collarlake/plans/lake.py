@@ -104,6 +104,11 @@ def read(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     return tables.read(spark, lake.path(table), schemas(spark)[table])
 
 
+def read_silver(spark: SparkSession, lake: Lake, days: Days = None) -> DataFrame:
+    """Silver with all columns that the registry has had, whenever a day was built."""
+    return tables.read_evolved(spark, lake.path("silver"), days)
+
+
 def build_bronze(spark: SparkSession, lake: Lake, max_files_per_batch: int | None = None) -> None:
     tables.ensure(spark, lake.landing)
     ingest(
@@ -117,6 +122,11 @@ def build_bronze(spark: SparkSession, lake: Lake, max_files_per_batch: int | Non
     tables.ensure(spark, lake.path("bronze"))
 
 
+def compact_bronze(spark: SparkSession, lake: Lake, days: Days = None) -> None:
+    """Join the folders that batches left in bronze's days. No build may run meanwhile."""
+    stream.compact(spark, lake.path("bronze"), days)
+
+
 def build_silver(spark: SparkSession, lake: Lake, days: Days = None) -> None:
     """Rebuild silver, or only the given days of it.
 
@@ -285,6 +295,7 @@ def build_marts(
             DAY_OF_READING,
             days=days,
             rebalance=False,
+            cluster="cat_id",
         )
         tables.overwrite_by_day(
             models.daily_health(models.daily_telemetry(readings)),
@@ -302,7 +313,7 @@ def build_marts(
             lake.path("bi_flat"),
             DAY,
             days=flat,
-            rebalance=_many(flat),
+            cluster="cat_id",
         )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 PARTITION = "reading_date"
 # What Spark calls the folder of rows without a day.
@@ -28,6 +28,7 @@ def overwrite_by_day(
     *,
     days: Collection[date | None] | None = None,
     rebalance: bool = True,
+    cluster: str | None = None,
 ) -> None:
     """Replace a table that has a folder per day. ``day`` is a SQL expression for it.
 
@@ -38,10 +39,17 @@ def overwrite_by_day(
     day with very many rows is split, and tasks with little data are joined. It is a
     shuffle, so leave it out where ``df`` is a narrow plan over a table that already
     has a folder per day: its tasks then hold few days each, and write few files.
+
+    ``cluster`` names a column that readers filter by. A day's rows are then dealt by ranges of
+    it, in place of the rebalance step, and ordered by it in each file, so that the files'
+    statistics tell readers what to skip.
     """
     rows = df.withColumn(PARTITION, F.expr(day).cast("date"))
     if rebalance:
-        rows = rows.hint("rebalance", PARTITION)
+        dealt = rows.hint("rebalance", PARTITION)
+        rows = dealt if cluster is None else rows.repartitionByRange(PARTITION, cluster)
+    if cluster is not None:
+        rows = rows.sortWithinPartitions(PARTITION, cluster)
     mode = "static" if days is None else "dynamic"
     spark = df.sparkSession
     ensure(spark, path)
@@ -85,6 +93,15 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another place in the same file system."""
+    where, system = _file_system(spark, source)
+    to, _ = _file_system(spark, target)
+    system.mkdirs(to.getParent())
+    if not system.rename(where, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def ensure(spark: SparkSession, path: str) -> None:
     """Make the folder of a table that may get no rows."""
     where, system = _file_system(spark, path)
@@ -109,6 +126,68 @@ def read(spark: SparkSession, path: str, schema: StructType | None = None) -> Da
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
+# Types that take in others without loss, narrow ones first.
+WIDER = (
+    ("tinyint", "smallint", "int", "bigint"),
+    ("tinyint", "smallint", "int", "double"),
+    ("float", "double"),
+    ("date", "timestamp"),
+)
+
+
+def common_type(types: Collection[str]) -> str:
+    """The narrowest type that takes in all of these, text if there is no other."""
+    for order in ((t,) for t in types):
+        if set(types) <= set(order):
+            return order[0]
+    for order in WIDER:
+        if set(types) <= set(order):
+            return max(types, key=order.index)
+    return "string"
+
+
+def read_evolved(
+    spark: SparkSession, path: str, days: Collection[date | None] | None = None
+) -> DataFrame:
+    """A table whose days were written under different schemas: with all columns that any of
+    the days has, NULL where a day lacks it, and of a type that takes in all of theirs.
+
+    One footer is read per day. Days of one schema are read together, so the plan grows with
+    the number of schemas, not of days. A day's files are of one write, so of one schema.
+    """
+    if days is None:
+        names = (name.partition("=") for name in files_in(spark, path))
+        folders = [f"{path}/{key}={text}" for key, _, text in names if key == PARTITION]
+    else:
+        folders = [f for f in (day_folder(path, day) for day in days) if exists(spark, f)]
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for folder in folders:
+        schema = spark.read.parquet(folder).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(folder)
+    types: dict[str, list[str]] = {}
+    for schema, _ in groups.values():
+        for field in schema:
+            types.setdefault(field.name, []).append(field.dataType.simpleString())
+    columns = {name: common_type(found) for name, found in types.items()}
+    parts = []
+    for schema, own in groups.values():
+        day = StructType([*schema.fields, StructField(PARTITION, DateType())])
+        rows = spark.read.schema(day).option("basePath", path).parquet(*own)
+        known = set(schema.names)
+        parts.append(
+            rows.select(
+                *(
+                    (F.col(f"`{n}`") if n in known else F.lit(None)).cast(kind).alias(n)
+                    for n, kind in columns.items()
+                ),
+                PARTITION,
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], StructType([StructField(PARTITION, DateType())]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def load_audit(
     spark: SparkSession,
     paths: Mapping[str, str],

@@ -7,16 +7,18 @@ days the batch's readings belong to.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
 
 from collarlake.functions.cleaning import parse_reading_time
-from collarlake.schemas import BATCH, BATCH_LOG, QUARANTINE, RAW_DAY, RAW_TELEMETRY
-from collarlake.sources.tables import files_in
+from collarlake.schemas import BATCH, BATCH_LOG, BRONZE_FILES, QUARANTINE, RAW_DAY, RAW_TELEMETRY
+from collarlake.sizing import sized_for
+from collarlake.sources.tables import NO_DAY, day_folder, exists, files_in, move, remove
 
 # The source skips files that are much older than the newest one it has seen, seven days
 # by default. Late uploads keep their old times, so no file may ever count as too old.
@@ -209,3 +211,75 @@ def ingest(
         spark, landing, max_files_per_batch=max_files_per_batch, archive=archive
     )
     start_bronze(with_ingest_audit(files), path, checkpoint).awaitTermination()
+
+
+PLAN = StructType(
+    [
+        StructField(RAW_DAY, DateType()),
+        StructField("into", LongType()),
+        StructField("replaced", ArrayType(LongType())),
+    ]
+)
+
+
+def compacting_of(path: str) -> str:
+    """Where compaction prepares files, out of the readers' sight."""
+    return f"{path.rstrip('/')}_compacting"
+
+
+def compact(spark: SparkSession, path: str, days: Collection[date | None] | None = None) -> None:
+    """Rewrite days that have several batch folders so that each has one, that of its last
+    batch; large days keep as many files as their rows need.
+
+    The new files are written aside, then what replaces what, and only then folders are
+    exchanged, day by day. A compaction that stopped in between is finished by the next
+    call. Batches that come in meanwhile are not touched. Readers of a day that is being
+    exchanged may miss it, so no build may run at the same time.
+    """
+    _finish_compaction(spark, path)
+    if days is None:
+        names = (name.partition("=") for name in files_in(spark, path))
+        texts = [text for key, _, text in names if key == RAW_DAY]
+        days = [None if text == NO_DAY else date.fromisoformat(text) for text in texts]
+    held = {day: _batches_of(spark, path, day) for day in days}
+    todo = {day: numbers for day, numbers in held.items() if len(numbers) > 1}
+    if not todo:
+        return
+    aside = compacting_of(path)
+    folders = [
+        f"{day_folder(path, day, RAW_DAY)}/{BATCH}={n}" for day, ns in todo.items() for n in ns
+    ]
+    rows = spark.read.schema(BRONZE_FILES).option("basePath", path).parquet(*folders)
+    with sized_for(rows):
+        (
+            rows.drop(BATCH)
+            .hint("rebalance", RAW_DAY)
+            .sortWithinPartitions(RAW_DAY, "cat_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(RAW_DAY)
+            .parquet(f"{aside}/data")
+        )
+    plan = [(day, max(numbers), numbers) for day, numbers in todo.items()]
+    _replace(spark.createDataFrame(plan, PLAN).coalesce(1), f"{aside}/plan")
+    _finish_compaction(spark, path)
+
+
+def _batches_of(spark: SparkSession, path: str, day: date | None) -> list[int]:
+    names = (n.partition("=") for n in files_in(spark, day_folder(path, day, RAW_DAY)))
+    return sorted(int(number) for key, _, number in names if key == BATCH)
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    """Exchange the folders of a compaction whose files are all written; drop one whose
+    files are not. Days that were exchanged before have nothing aside any more."""
+    aside = compacting_of(path)
+    if "_SUCCESS" in files_in(spark, f"{aside}/plan"):
+        for row in spark.read.schema(PLAN).parquet(f"{aside}/plan").toLocalIterator():
+            new = day_folder(f"{aside}/data", row[RAW_DAY], RAW_DAY)
+            if exists(spark, new):
+                folder = day_folder(path, row[RAW_DAY], RAW_DAY)
+                for number in row.replaced:
+                    remove(spark, f"{folder}/{BATCH}={number}")
+                move(spark, new, f"{folder}/{BATCH}={row.into}")
+    remove(spark, aside)

@@ -85,6 +85,15 @@ def sink_stream_append(spark, sf_dir):
     return rows.select(*RAW_TELEMETRY.names)
 
 
+@query("sink_stream_compact", TELEMETRY)
+def sink_stream_compact(spark, sf_dir):
+    """Bronze after the folders of its batches were joined, day by day."""
+    root = scratch_dir(spark, "stream-compact")
+    _two_waves(spark, sf_dir, root)
+    bronze.compact(spark, f"{root}/bronze")
+    return telemetry.read_bronze(spark, f"{root}/bronze").select(*RAW_TELEMETRY.names)
+
+
 @query(
     "stream_incremental_files",
     """select coalesce(activity_level = 'sleep', false) as first_wave, count(*) as n_rows
@@ -208,6 +217,28 @@ def sink_silver_overwrite(spark, sf_dir):
     return tables.read(spark, path).select(*silver.columns)
 
 
+OLD_DAYS = "coalesce(cast(parsed_reading_time as date) < date '2024-01-16', false)"
+
+
+@query(
+    "sink_silver_evolved",
+    f"""select * replace (case when not {OLD_DAYS} then weight_lbs end as weight_lbs,
+                         cast(steps_count as bigint) as steps_count)
+        from silver""",
+)
+def sink_silver_evolved(spark, sf_dir):
+    """Days written before the registry had weights, and before step counts were long."""
+    path = scratch_dir(spark, "silver-evolved")
+    silver = adapter.silver_table(spark, sf_dir)
+    old = F.expr(OLD_DAYS)
+    day = "cast(parsed_reading_time as date)"
+    tables.overwrite_by_day(silver.filter(old).drop("weight_lbs"), path, day)
+    wide = silver.filter(~old).withColumn("steps_count", F.col("steps_count").cast("long"))
+    days = [r[0] for r in wide.select(F.expr(day).alias("d")).distinct().collect()]
+    tables.overwrite_by_day(wide, path, day, days=days)
+    return tables.read_evolved(spark, path).select(*silver.columns)
+
+
 BAD_STEPS = "(activity_level is null and battery_level_pct < 0)"
 
 

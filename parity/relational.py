@@ -270,3 +270,26 @@ def bi_sleep_by_breed(spark, sf_dir):
 )
 def bi_heart_anomalies(spark, sf_dir):
     return dashboard.heart_rate_anomalies(adapter.fact(spark, sf_dir))
+
+
+SINCE = date(2024, 1, 16)
+
+
+@query(
+    "bi_heart_excursions",
+    f"""select reading_id, f.cat_id, reading_time, heart_rate_bpm, median, n_readings
+        from fact f join (
+            select cat_id, count(*) as n_readings,
+                   quantile_disc(heart_rate_bpm, 0.25) as low,
+                   cast(quantile_disc(heart_rate_bpm, 0.5) as bigint) as median,
+                   quantile_disc(heart_rate_bpm, 0.75) as high
+            from fact
+            where heart_rate_bpm > 0 and cast(reading_time as date) < date '{SINCE}'
+            group by cat_id having count(*) >= 8) b on b.cat_id = f.cat_id
+        where heart_rate_bpm > 0 and cast(reading_time as date) >= date '{SINCE}'
+          and (heart_rate_bpm < low - 1.5 * (high - low)
+               or heart_rate_bpm > high + 1.5 * (high - low))""",
+)
+def bi_heart_excursions(spark, sf_dir):
+    """Heart rates against each animal's own earlier ones."""
+    return dashboard.heart_rate_excursions(adapter.fact(spark, sf_dir), SINCE)

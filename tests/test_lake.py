@@ -9,6 +9,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from collarlake.operators import dashboard
 from collarlake.operators.quality import ChecksFailed
 from collarlake.plans import lake
 from collarlake.sources import tables
@@ -197,6 +198,33 @@ def test_a_registry_that_changes_reaches_all_days(spark, place, tmp_path):
     assert everything(spark, place) == fresh(spark, place, tmp_path, "third")
 
 
+def test_days_of_older_schemas_are_read_together(spark, place, tmp_path):
+    """The registry gains a column; days that are not rebuilt stay as they are."""
+    lake.run(spark, place, AS_OF)
+    before = {f for f in files(spark, place, "silver") if f[0] != "2026-05-02"}
+    (tmp_path / "registry" / "cats.csv").write_text(
+        f"{HEADER},colour\nC1,Tom,Tabby,MALE,2023-02-03,8.5,O1,2024-01-01,grey\n"
+        "C2,Kit,NULL,Female,2025-02-03,16,O1,2024-01-01,red\n"
+    )
+    lake.run(spark, place, AS_OF, days=[date(2026, 5, 2)])
+    assert before == {f for f in files(spark, place, "silver") if f[0] != "2026-05-02"}
+    colours = {r.reading_date: r.colour for r in lake.read_silver(spark, place).collect()}
+    assert colours == {date(2026, 5, 1): None, date(2026, 5, 2): "grey", None: None}
+    assert lake.read_silver(spark, place).count() == lake.read(spark, place, "silver").count() == 22
+    one = lake.read_silver(spark, place, [date(2026, 5, 1)])
+    assert "colour" not in one.columns and one.count() == 11
+    assert lake.read_silver(spark, place, [date(2030, 1, 1)]).count() == 0
+
+
+def test_types_take_in_narrower_ones():
+    for types, common in (
+        (["int"], "int"), (["bigint", "int"], "bigint"), (["int", "double"], "double"),
+        (["float", "double"], "double"), (["date", "timestamp"], "timestamp"),
+        (["bigint", "double"], "string"), (["boolean", "int"], "string"),
+    ):
+        assert tables.common_type(types) == common
+
+
 def test_a_lost_mark_means_a_full_build(spark, place, tmp_path):
     lake.run(spark, place, AS_OF)
     tables.remove(spark, place.path("progress"))
@@ -355,3 +383,42 @@ def test_a_large_day_is_split_over_files_and_small_days_are_not(spark, tmp_path)
     # A file per task and day would be 16 each. A day hashed to the large day's partition
     # is split along with it.
     assert sum(files_of.values()) < 2 * len(files_of)
+
+
+def scanned_rows(df):
+    """Rows that left the scan of a query that was run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaf = plan.collectLeaves().head()
+    return leaf.metrics().get("numOutputRows").get().value(), leaf.metrics().get("numFiles").get().value()
+
+
+def test_one_animal_is_read_without_the_others(spark, tmp_path):
+    """Files hold ranges of animals, and rows in them are in order."""
+    df = spark.range(200_000, numPartitions=8).select(
+        F.concat(F.lit("C"), F.lpad((F.col("id") % 10_000).cast("string"), 5, "0")).alias("cat_id"),
+        F.concat(F.lit("Cat "), F.col("id") % 5_000).alias("cat_name"),
+        F.date_add(F.lit(date(2026, 5, 1)), (F.col("id") % 2).cast("int")).alias("reading_date"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+    )
+    paths = str(tmp_path / "mixed"), str(tmp_path / "ordered")
+    with_small_groups = {"parquet.block.size": "100000"}
+    hadoop = spark._jsc.hadoopConfiguration()
+    for name, value in with_small_groups.items():
+        hadoop.set(name, value)
+    try:
+        tables.overwrite_by_day(df, paths[0], "reading_date")
+        tables.overwrite_by_day(df, paths[1], "reading_date", cluster="cat_id")
+    finally:
+        for name in with_small_groups:
+            hadoop.unset(name)
+    found = {}
+    for path in paths:
+        mart = tables.read(spark, path)
+        one = dashboard.filter_cat(mart, cat_id="C00042")
+        assert sorted(map(str, one.collect())) == sorted(map(str, df.where("cat_id = 'C00042'").select(*mart.columns).collect()))
+        found[path], files_read = scanned_rows(one)
+        cats = df.select("cat_id", "cat_name").distinct()
+        named = dashboard.filter_named(mart, cats, "Cat 42")
+        assert named.select("cat_id").distinct().count() == 2 and named.count() == 40
+    assert found[paths[1]] < 10_000 < 5 * found[paths[1]] + 50_000 < found[paths[0]]

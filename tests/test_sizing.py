@@ -74,7 +74,7 @@ def test_command_runs_the_steps_in_order(spark, place, tmp_path, monkeypatch):
     command.main([*where, "--new", "--as-of", "2026-06-01"])
     assert lake.days_to_build(spark, place, date(2026, 6, 1)) == set()
     drop_file(tmp_path / "landing", "new.json", reading("C1", 7, 0))
-    command.main([*where, "--new", "--as-of", "2026-06-01"])
+    command.main([*where, "--new", "--compact", "--as-of", "2026-06-01"])
     assert tables.read(spark, place.path("bi_flat")).count() == 5
     assert command.parse([*where, "--stop-at-bad-files"]).stop_at_bad_files
     days = command.parse([*where, "--days", "2026-05-01", "undated"]).days

@@ -6,8 +6,9 @@ import json
 import os
 import re
 import time
-from datetime import date
+from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -15,6 +16,7 @@ from collarlake.schemas import BRONZE, RAW_TELEMETRY
 from collarlake.sources.telemetry import read_bronze
 from collarlake.streaming.bronze import (
     batches,
+    compact,
     days_of_batches,
     ingest,
     read_landing,
@@ -24,6 +26,7 @@ from collarlake.streaming.bronze import (
     with_ingest_audit,
     write_batch,
 )
+from collarlake.streaming import bronze as module
 from collarlake.workspace import scratch_dir
 from tests.conftest import plan_of
 
@@ -142,6 +145,52 @@ def test_a_batch_adds_few_files_to_a_day(spark, tmp_path):
     assert len(written) == 10 and read_bronze(spark, bronze).count() == 160
 
 
+def test_many_batches_are_joined(spark, tmp_path):
+    _, bronze, _ = places(tmp_path)
+    columns = StructType([StructField(f.name, f.dataType) for f in BRONZE])
+    for n in range(50):
+        times = [f"2026-05-0{1 + n % 2} {n % 24:02d}:00:00", "bad" if n == 7 else "2026-05-09 00:00:00"]
+        rows = [(f"K{n}", "C", t, *[None] * 6, datetime(2026, 6, 1), "f") for t in times]
+        write_batch(spark.createDataFrame(rows, columns), n, bronze)
+    before = sorted(map(str, read_bronze(spark, bronze).collect()))
+    assert len(before) == 100
+    compact(spark, bronze, [date(2026, 5, 1)])
+    compact(spark, bronze)
+    compact(spark, bronze)
+    assert sorted(map(str, read_bronze(spark, bronze).collect())) == before
+    days = list((tmp_path / "bronze").glob("reading_day=*"))
+    assert len(days) == 4
+    assert all(len(list(day.rglob("part-*.parquet"))) == 1 for day in days)
+    # The log of the batches is as before, and later batches are added.
+    assert days_of_batches(spark, bronze, 47) == {date(2026, 5, d) for d in (1, 2, 9)}
+    write_batch(spark.createDataFrame(rows, columns), 50, bronze)
+    assert read_bronze(spark, bronze).count() == 102
+
+
+def test_a_compaction_that_stopped_is_finished(spark, tmp_path, monkeypatch):
+    _, bronze, _ = places(tmp_path)
+    columns = StructType([StructField(f.name, f.dataType) for f in BRONZE])
+    for n in range(3):
+        rows = [(f"K{n}", "C", f"2026-05-0{d} 10:00:00", *[None] * 6, datetime(2026, 6, 1), "f") for d in (1, 2)]
+        write_batch(spark.createDataFrame(rows, columns), n, bronze)
+    before = sorted(map(str, read_bronze(spark, bronze).collect()))
+    real = module.move
+
+    def stops(spark, source, target):
+        if "05-02" in source:
+            raise OSError("lost")
+        real(spark, source, target)
+
+    monkeypatch.setattr(module, "move", stops)
+    with pytest.raises(OSError, match="lost"):
+        compact(spark, bronze)
+    monkeypatch.setattr(module, "move", real)
+    compact(spark, bronze)
+    assert sorted(map(str, read_bronze(spark, bronze).collect())) == before
+    assert len(list((tmp_path / "bronze").rglob("part-*.parquet"))) == 2
+    assert not (tmp_path / "bronze_compacting").exists()
+
+
 def test_ingested_files_can_be_archived(spark, tmp_path):
     landing, bronze, checkpoint = places(tmp_path)
     archive = tmp_path / "archive"
