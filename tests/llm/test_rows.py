@@ -127,10 +127,32 @@ def test_mixing_comes_near_its_targets(spark):
     want = water_level(sizes, {s: i % 3 + 1 for i, s in enumerate(order)}, 3)
     for row in rated:
         assert row["max(__target)"] == pytest.approx(want[row.source])
-        assert taken[row.source] == pytest.approx(want[row.source], rel=0.05)
+        assert taken[row.source] == pytest.approx(want[row.source], rel=0.001)
     assert taken["z"] == 3 * sizes["z"]
 
 
+def test_mixing_makes_up_for_large_documents(spark):
+    """A few documents hold half of each source's words; a document gets one more copy at most."""
+    source = random.Random(4)
+    rows = [
+        (i, "w " * (1500 if i % 100 < 2 else source.randrange(60)), f"s{i % 7}") for i in range(2800)
+    ]
+    rated = mixing.rated(documents(spark, rows)).collect()
+    taken, sizes = Counter(), Counter()
+    for row in rated:
+        rate = row["__target"] / row["__source_size"]
+        assert row["__copies"] in (math.floor(rate), math.floor(rate) + 1)
+        taken[row.source] += row["__size"] * row["__copies"]
+        sizes[row.source] += row["__size"]
+    want = {row.source: row["__target"] for row in rated}
+    for name, target in want.items():
+        assert taken[name] == pytest.approx(target, rel=0.01)
+    # Large and small documents are drawn about as often as each other.
+    share = lambda own: sum(r["__copies"] * r["__source_size"] / r["__target"] for r in own) / len(own)
+    large = [r for r in rated if r["__size"] == 1500]
+    assert share(large) == pytest.approx(1, abs=0.35) and share(rated) == pytest.approx(1, abs=0.1)
+
+
 def test_mixing_of_odd_rows(spark):
     rows = [(*r, s) for r, s in zip(odd_rows(), [None, "", "a"] * 9, strict=False)]
     docs = documents(spark, rows, extra=True)
