@@ -3,10 +3,11 @@
 Each shard owns several points of a ring, its virtual nodes; a row belongs to the first
 virtual node clockwise of its key's hash. A shard holds at most its quota of rows, and all
 quotas together are the number of rows, so every shard ends with exactly its quota and
-counts differ by one at most. Rows that a full shard cannot hold continue clockwise to
-the next virtual node of a shard with room. A shard's room is split evenly over its
-virtual nodes, which turns the walk around the ring into a queue: overflow joins it, room
-serves it, and running sums with a running minimum say who is served where.
+counts differ by one at most. Rows that a full shard cannot hold continue clockwise to the
+next virtual node of a shard with room: they pass a virtual node only if its whole shard is
+full. The walk goes by rounds: all rows under way arrive at their next virtual node, each shard
+takes in what it has room for, in order of the cells that rows come from, and the others
+go on. Each round but the last fills a shard at least, so there are no more than shards.
 
 The ring has a fixed number of cells. All that is computed about the ring as a whole
 works on one row per cell or virtual node, a number that does not depend on the data.
@@ -18,6 +19,8 @@ Only built-in functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,129 +51,78 @@ def ring(spark, shards: int, virtual_nodes: int = VIRTUAL_NODES) -> DataFrame:
     return nodes.groupBy("cell").agg(F.min_by("shard", F.struct("tie", "shard")).alias("shard"))
 
 
-def _cells(spark, shards: int, virtual_nodes: int) -> DataFrame:
-    """Every cell with its own virtual node, if any, and its home: the shard of the first
-    virtual node at or after it."""
-    cells = spark.range(CELLS).select(F.col("id").cast("int").alias("cell"))
-    nodes = ring(spark, shards, virtual_nodes).withColumnRenamed("shard", "node")
-    onward = Window.partitionBy(F.lit(0)).orderBy("cell").rowsBetween(0, Window.unboundedFollowing)
-    first = F.min_by("node", F.when(F.col("node").isNotNull(), F.col("cell")))
-    return cells.join(nodes, "cell", "left").select(
-        "cell",
-        "node",
-        F.coalesce(
-            F.first("node", ignorenulls=True).over(onward), first.over(Window.partitionBy(F.lit(0)))
-        ).alias("home"),
-    )
-
-
-def _flow(counts: DataFrame, shards: int, virtual_nodes: int) -> DataFrame:
-    """Per cell: the rows its home keeps, those that go on, the room its node offers, and
-    where both begin in the order of the walk around the ring."""
+def _next_open(waiting: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``waiting`` (cell, lo, rows, at) with the place and shard of the first of ``nodes`` (cell,
+    shard) at or after ``at``, around the ring. At most one row per cell on either side."""
+    none = F.lit(None).cast("int")
+    spots = waiting.select(F.struct("cell", "lo", "rows").alias("who"), "at", none.alias("shard"))
+    nobody = F.lit(None).cast(spots.schema["who"].dataType).alias("who")
+    # Of a group and a node at one place the group comes first: it meets the node.
+    both = spots.unionByName(nodes.select(nobody, F.col("cell").alias("at"), "shard"))
+    node = F.when(F.col("shard").isNotNull(), F.struct("at", "shard"))
     everything = Window.partitionBy(F.lit(0))
-    zero = F.lit(0).cast("long")
-
-    def quota(shard: str) -> Column:
-        more = F.when(F.col(shard) < F.pmod(F.col("total"), F.lit(shards)), 1).otherwise(0)
-        return F.floor(F.col("total") / shards).cast("long") + more
-
-    def running(group: str | Column, order: str) -> Window:
-        return Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    cells = _cells(counts.sparkSession, shards, virtual_nodes).join(counts, "cell", "left")
-    cells = cells.withColumn("rows", F.coalesce("rows", zero))
-    cells = cells.withColumn("total", F.sum("rows").over(everything))
-    left = quota("home") - F.coalesce(F.sum("rows").over(running("home", "cell")), zero)
-    cells = cells.withColumn("keep", F.least("rows", F.greatest(zero, left)))
-    cells = cells.withColumn("over", F.col("rows") - F.col("keep"))
-
-    held = cells.groupBy(F.col("home").alias("node")).agg(F.sum("keep").alias("held"))
-    nodes = (
-        cells.where("node is not null")
-        .select(
-            "cell",
-            "node",
-            quota("node").alias("quota"),
-            F.row_number().over(Window.partitionBy("node").orderBy("cell")).alias("nth"),
-            F.count(F.lit(1)).over(Window.partitionBy("node")).alias("nodes"),
-        )
-        .join(held, "node", "left")
-        .withColumn("room", F.col("quota") - F.coalesce("held", zero))
-        .select(
-            "cell",
-            (
-                F.floor(F.col("room") / F.col("nodes")).cast("long")
-                + F.when(F.col("nth") <= F.pmod("room", "nodes"), 1).otherwise(0)
-            ).alias("room"),
-        )
-    )
-    flow = cells.join(nodes, "cell", "left").withColumn("room", F.coalesce("room", zero))
-    upto = Window.partitionBy(F.lit(0)).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    flow = flow.withColumn("waiting", F.sum(F.col("over") - F.col("room")).over(upto))
-    # The walk starts behind the cell where the least rows wait: nobody waits there.
-    flow = flow.withColumn("start", F.min_by("cell", F.struct("waiting", "cell")).over(everything))
-    flow = flow.withColumn("turn", F.pmod(F.col("cell") - F.col("start") - 1, F.lit(CELLS)))
-    walk = running(F.lit(0), "turn")
-    return flow.select(
-        "cell",
-        "node",
-        "home",
-        "keep",
-        "over",
-        "room",
-        F.coalesce(F.sum("over").over(walk), zero).alias("over_from"),
-        F.coalesce(F.sum("room").over(walk), zero).alias("room_from"),
+    onward = everything.orderBy("at", F.col("shard").asc_nulls_first(), "who").rowsBetween(
+        0, Window.unboundedFollowing
     )
+    met = F.coalesce(F.first(node, ignorenulls=True).over(onward), F.min(node).over(everything))
+    found = both.select("who", met.alias("met")).where("who is not null")
+    return found.select("who.*", F.col("met.at").alias("at"), F.col("met.shard").alias("shard"))
 
 
 def plan(counts: DataFrame, shards: int, virtual_nodes: int = VIRTUAL_NODES) -> DataFrame:
     """Which rows of each cell go where: (cell, lo, hi, shard, slot). Rows numbered lo to
     hi - 1 in the cell take the slots from ``slot`` on in the shard.
 
-    ``counts`` has (cell, rows). The result is bounded: each cell begins two pieces of its
-    own at most, one that stays and one that goes on, and each virtual node one.
+    ``counts`` has (cell, rows). The result is bounded: a cell's rows are cut where a shard
+    becomes full, which happens once for each shard.
     """
     spark = counts.sparkSession
     saved = Saved(spark, "ring")
-    flow = saved.write(_flow(counts, shards, virtual_nodes), "flow")
-    # The k-th row that goes on takes the k-th place of room: cut each at the other's ends.
-    who = F.struct("cell", "keep", "over_from", "over")
-    going = flow.where("over > 0").select(
-        F.col("over_from").alias("k"), who.alias("who"), F.lit(None).cast("int").alias("shard")
-    )
-    places = flow.where("room > 0").select(
-        F.col("room_from").alias("k"),
-        F.lit(None).cast(going.schema["who"].dataType).alias("who"),
-        F.col("node").alias("shard"),
+    zero = F.lit(0).cast("long")
+    total = counts.agg(F.coalesce(F.sum("rows"), zero)).first()[0]
+    more = F.when(F.col("id") < total % shards, 1).otherwise(0)
+    rooms = spark.range(shards).select(
+        F.col("id").cast("int").alias("shard"), (more + total // shards).cast("long").alias("room")
     )
-    by_k = Window.partitionBy(F.lit(0)).orderBy("k")
-    cuts = (
-        going.unionByName(places)
-        .groupBy("k")
-        .agg(F.max("who").alias("who"), F.max("shard").alias("shard"))
-        .select(
-            "k",
-            F.last("who", ignorenulls=True).over(by_k).alias("who"),
-            F.last("shard", ignorenulls=True).over(by_k).alias("shard"),
-            F.lead("k").over(by_k).alias("next"),
+    nodes = saved.write(ring(spark, shards, virtual_nodes), "nodes")
+    waiting = counts.where("rows > 0").select("cell", zero.alias("lo"), "rows", F.col("cell").alias("at"))
+    waiting = saved.write(waiting, "waiting")
+    parts = []
+    while not waiting.isEmpty():
+        # Shards with room, and their virtual nodes.
+        rooms = saved.write(rooms.where("room > 0"), "rooms")
+        arrived = _next_open(waiting, nodes.join(rooms, "shard").select("cell", "shard"))
+        queue = Window.partitionBy("shard").orderBy("cell", "lo").rowsBetween(
+            Window.unboundedPreceding, -1
         )
-    )
-    end = F.coalesce("next", F.col("who.over_from") + F.col("who.over"))
-    moved = cuts.select(
-        "who.cell",
-        (F.col("who.keep") + F.col("k") - F.col("who.over_from")).alias("lo"),
-        (F.col("who.keep") + end - F.col("who.over_from")).alias("hi"),
-        "shard",
-    )
-    stay = flow.where("keep > 0").select(
-        "cell", F.lit(0).cast("long").alias("lo"), F.col("keep").alias("hi"),
-        F.col("home").alias("shard"),
-    )
+        before = F.coalesce(F.sum("rows").over(queue), zero)
+        arrived = arrived.withColumn("before", before).join(rooms, "shard")
+        taken = F.least("rows", F.greatest(zero, F.col("room") - F.col("before")))
+        arrived = saved.write(arrived.withColumn("taken", taken), "arrived")
+        parts.append(
+            arrived.where("taken > 0").select(
+                "cell", "lo", (F.col("lo") + F.col("taken")).alias("hi"), "shard"
+            )
+        )
+        filled = arrived.groupBy(F.col("shard").alias("of")).agg(F.sum("taken").alias("taken"))
+        rooms = rooms.join(filled, F.col("shard") == F.col("of"), "left").select(
+            "shard", (F.col("room") - F.coalesce("taken", zero)).alias("room")
+        )
+        waiting = arrived.where("taken < rows").select(
+            "cell",
+            (F.col("lo") + F.col("taken")).alias("lo"),
+            (F.col("rows") - F.col("taken")).alias("rows"),
+            "at",
+        )
+    if not parts:
+        kinds = "cell int, lo long, hi long, shard int, slot long"
+        return spark.createDataFrame([], kinds)
+    pieces = reduce(DataFrame.unionByName, parts)
     in_shard = (
         Window.partitionBy("shard").orderBy("cell", "lo").rowsBetween(Window.unboundedPreceding, -1)
     )
-    slot = F.coalesce(F.sum(F.col("hi") - F.col("lo")).over(in_shard), F.lit(0).cast("long"))
-    return stay.unionByName(moved).withColumn("slot", slot)
+    slot = F.coalesce(F.sum(F.col("hi") - F.col("lo")).over(in_shard), zero)
+    return pieces.withColumn("slot", slot)
 
 
 def assign(rows: DataFrame, shards: int, virtual_nodes: int = VIRTUAL_NODES) -> DataFrame:
@@ -181,10 +133,13 @@ def assign(rows: DataFrame, shards: int, virtual_nodes: int = VIRTUAL_NODES) ->
     missing id, do not gather in a place. Repeated rows come back as often as they came.
     They are counted before they are shuffled and dealt out again in pieces, so no task
     meets all repeats of a row. Nulls are values like others. An empty table gives none.
+    Columns named shard and slot take part in the key and are then replaced.
 
     A row added or removed moves others only where a quota changes.
     """
-    names = rows.columns
+    given = rows.columns
+    names = [f"__own_{name}" if name in ("shard", "slot") else name for name in given]
+    rows = rows.toDF(*names)
     saved = Saved(rows.sparkSession, "ring")
     keyed = rows.select(*names, _ring_cell(*names).alias("__cell"))
     counts = saved.write(
@@ -218,6 +173,7 @@ def assign(rows: DataFrame, shards: int, virtual_nodes: int = VIRTUAL_NODES) ->
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("__many") - 1, F.lit(PIECE))).alias("__p"),
     ).repartition(*names, "__p")
     within = F.sequence("__p", F.least(F.col("__p") + PIECE, F.col("__many")) - 1)
-    return dealt.select(*names, "shard", "__slot", F.explode(within).alias("__i")).select(
-        *names, "shard", (F.col("__slot") + F.col("__i")).alias("slot")
+    kept = [name for name in given if name not in ("shard", "slot")]
+    return dealt.select(*kept, "shard", "__slot", F.explode(within).alias("__i")).select(
+        *kept, "shard", (F.col("__slot") + F.col("__i")).alias("slot")
     )

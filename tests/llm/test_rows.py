@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 import zlib
@@ -60,13 +61,66 @@ def test_sharding_of_a_hot_row(spark):
     assert Counter(r.doc_id for r in found)[-1] == 6000
 
 
+def walked(cells, nodes, shards):
+    """The shard of each row, by a plain walk: ``cells`` has each row's cell, in order of arrival;
+    ``nodes`` the virtual nodes as cell: shard. A full shard's nodes are passed."""
+    room = [len(cells) // shards + (s < len(cells) % shards) for s in range(shards)]
+    ring, out = sorted(nodes), [None] * len(cells)
+    waiting = [(cell, row, cell) for row, cell in enumerate(cells)]
+    while waiting:
+        closed = {s for s in range(shards) if not room[s]}
+        open_nodes = [n for n in ring if nodes[n] not in closed]
+        left = []
+        for cell, row, at in sorted(waiting):
+            spot = open_nodes[bisect.bisect_left(open_nodes, at) % len(open_nodes)]
+            shard = nodes[spot]
+            if room[shard]:
+                room[shard] -= 1
+                out[row] = shard
+            else:
+                left.append((cell, row, spot))
+        waiting = left
+    return out
+
+
+@pytest.mark.parametrize(("rows", "shards", "nodes"), [(3000, 7, 64), (500, 16, 3), (40, 3, 1), (5, 9, 2)])
+def test_sharding_walks_around_the_ring(spark, rows, shards, nodes):
+    """Row by row as a plain walk has it."""
+    F = queries.F
+    many = spark.range(rows).selectExpr("id % 1700 as doc_id", "if(id < 400, 0, id) as more")
+    order = F.xxhash64(F.lit("order"), "doc_id", "more")
+    keyed = many.select("*", sharding._ring_cell("doc_id", "more").alias("cell"), order.alias("o"))
+    keyed = sorted(keyed.collect(), key=lambda r: (r.cell, r.o, r.doc_id, r.more))
+    ring = {r.cell: r.shard for r in sharding.ring(spark, shards, nodes).collect()}
+    want = Counter(
+        (r.doc_id, r.more, s)
+        for r, s in zip(keyed, walked([r.cell for r in keyed], ring, shards), strict=True)
+    )
+    found = sharding.assign(many, shards, nodes).collect()
+    check_shards(found, shards)
+    assert Counter((r.doc_id, r.more, r.shard) for r in found) == want
+
+
 def test_sharding_moves_few_rows(spark):
-    """A tenth more rows: most rows stay where they are. Rows go on clockwise: those that a
-    plain ring would place elsewhere are a minority."""
+    """A tenth more rows, and one more shard: most rows stay where they are."""
     many = spark.range(20_000).withColumnRenamed("id", "doc_id")
-    before = {r.doc_id: r.shard for r in sharding.assign(many, 8).collect()}
-    after = {r.doc_id: r.shard for r in sharding.assign(many.where("doc_id >= 2000"), 8).collect()}
+
+    def placed(df, shards):
+        return {r.doc_id: r.shard for r in sharding.assign(df, shards).collect()}
+
+    before = placed(many, 8)
+    after = placed(many.where("doc_id >= 2000"), 8)
     assert sum(before[d] != s for d, s in after.items()) < 0.15 * len(after)
+    grown = placed(many, 9)
+    assert sum(before[d] != s for d, s in grown.items()) < 0.3 * len(grown)
+
+
+def test_sharding_of_clashing_columns(spark):
+    df = documents(spark, odd_rows(), extra=True)
+    found = sharding.assign(df, 3).collect()
+    check_shards(found, 3)
+    assert Counter(r.doc_id for r in found) == Counter(r.doc_id for r in df.collect())
+    assert found[0].key == "x" and set(found[0].asDict()) == set(df.columns)
 
 
 def test_native_plans(spark):
