@@ -71,7 +71,7 @@ def repeats(docs: DataFrame, lines: int = LINES) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, lines: int = LINES, count: str | None = None) -> DataFrame:
     """``docs`` with repeated passages removed from ``text``; all other columns unchanged.
-    ``count`` names a further column, the number of lines removed.
+    ``count`` names a further column, the number of lines removed; it replaces one of that name.
 
     Needs doc_id and text. A document with fewer lines than a window, and one whose text is
     null or empty, is unchanged. One whose lines are all repeats keeps an empty text. Rows
@@ -89,7 +89,7 @@ def dedup_lines(docs: DataFrame, lines: int = LINES, count: str | None = None) -
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), covered)
     text = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     text = F.when(F.col("__starts").isNull(), F.col("text")).otherwise(text).alias("text")
-    out = [text if name == "text" else F.col(f"`{name}`") for name in docs.columns]
+    out = [text if name == "text" else F.col(f"`{name}`") for name in docs.columns if name != count]
     if count:
         out.append(F.coalesce(F.size(covered), F.lit(0)).cast("long").alias(count))
     return joined.select(*out)

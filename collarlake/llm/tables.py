@@ -21,20 +21,21 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Rows and bytes that travel to a Python worker at once. A worker, and the executor's
 # memory outside of its heap, hold a few such batches at a time.
-BATCH = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
-    "spark.sql.execution.arrow.maxBytesPerBatch": 8 * 1024 * 1024,
-}
+ROWS, BYTES = 1000, 8 * 1024 * 1024
 
 
 def importable(spark: SparkSession) -> None:
     """Workers of a session that was started elsewhere look into this folder too, and get
     batches of texts that are small beside their memory: the session's limits are lowered
-    to BATCH where they are higher or off."""
-    for name, most in BATCH.items():
-        now = int(spark.conf.get(name).rstrip("b"))
+    to ROWS and BYTES where they are higher or off. They stay lowered, since plans that are
+    made here run later."""
+    limits = spark._jsparkSession.sessionState().conf()  # reads sizes such as 64m as numbers
+    for name, now, most in (
+        ("maxRecordsPerBatch", limits.arrowMaxRecordsPerBatch(), ROWS),
+        ("maxBytesPerBatch", limits.arrowMaxBytesPerBatch(), BYTES),
+    ):
         if not 0 < now <= most:
-            spark.conf.set(name, str(most))
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
