@@ -203,8 +203,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text"
     )
-    cache = scratch_dir(spark, "token-counts")
-    return tokencounts.counted(docs, tokenizer("word_bpe_49k.json"), cache).select(
+    # A cache of its own, so that a run does not depend on those before it. It is begun with
+    # half of the documents, as an earlier run would have left it; then all are counted,
+    # and only contents that are not in it yet are encoded.
+    cache, path = scratch_dir(spark, "token-counts"), tokenizer("word_bpe_49k.json")
+    tokencounts.counted(docs.where(bucket(2) == 0), path, cache)
+    return tokencounts.counted(docs, path, cache).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit")
     )
 

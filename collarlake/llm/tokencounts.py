@@ -104,7 +104,8 @@ def counted(docs: DataFrame, path: str, cache: str, name: str = "n_tokens") -> D
     """``docs`` without ``text`` but with its number of tokens, ``name``.
 
     ``path`` is a tokenizer file of a kind that drops white space and that every worker can
-    open; ``cache`` a folder in shared storage with one writer at a time. A null text
+    open; ``cache`` a folder in shared storage that lasts. Two writers at a time may both
+    encode a content that is missing; its count is read once all the same. A null text
     counts as empty. Repeated rows come back as often as they came. A column called
     ``name`` is replaced. A run that stops early has stored whole files of counts or none
     of them, and the next run encodes what is missing.
@@ -117,19 +118,21 @@ def counted(docs: DataFrame, path: str, cache: str, name: str = "n_tokens") -> D
     stored = spark.read.schema("digest binary, n_tokens long")
     spark_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     begun = spark_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark_path)
-    contents = docs.select(digest, normalised("text").alias("content"))
-    contents = contents.withColumnRenamed("__digest", "digest")
-    if begun:
-        contents = contents.join(stored.parquet(folder), "digest", "left_anti")
-    # Grouped under a new column, so that the rows of a hot digest are reduced per task.
-    distinct = contents.groupBy(F.substring("digest", 1, 32).alias("key")).agg(
-        F.first("content").alias("content")
+    # Copies are reduced per task first; the contents are then in place for the join.
+    missing = (
+        docs.select(digest, normalised("text").alias("content"))
+        .groupBy(F.col("__digest").alias("digest"))
+        .agg(F.first("content").alias("content"))
     )
-    missing = distinct.select(F.col("key").alias("digest"), "content")
+    if begun:
+        missing = missing.join(stored.parquet(folder).select("digest"), "digest", "left_anti")
     missing.mapInArrow(_counting(path), "digest binary, n_tokens long").write.mode(
         "append"
     ).parquet(folder)
-    counts = stored.parquet(folder).select(F.col("digest").alias("__digest"), F.col("n_tokens").alias("__n"))
+    # One count per content, however often it was stored.
+    counts = stored.parquet(folder).groupBy(F.col("digest").alias("__digest")).agg(
+        F.max("n_tokens").alias("__n")
+    )
     keyed = docs.select(*(F.col(f"`{c}`") for c in others), digest)
     joined = keyed.join(counts, "__digest", "left")
     return joined.select(*(F.col(f"`{c}`") for c in others), F.col("__n").alias(name))
