@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from collarlake.llm.tables import importable
+from collarlake.llm.tables import freed, importable
 
 # How the file format splits texts, and how it writes bytes as characters.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -282,7 +282,7 @@ def encode(
                 )
                 at = stop
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(freed(run), schema)
 
 
 def _stop(column: pa.Array, at: int) -> int:
@@ -322,4 +322,4 @@ def decode(
                 names=[*names, text],
             )
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(freed(run), schema)

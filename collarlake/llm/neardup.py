@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from collarlake.llm.tables import Saved, importable
+from collarlake.llm.tables import Saved, freed, importable
 from collarlake.llm.words import mix, randoms, text_bytes, word_hashes
 
 SHINGLE = 5
@@ -146,7 +146,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, hi, lo, bands) of every document. The set hash (hi, lo)
     is equal for equal sets. A text without words has an empty set and no bands."""
     importable(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_sign, _SIGNED)
+    return docs.select("doc_id", "text").mapInArrow(freed(_sign), _SIGNED)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from collarlake.llm.tables import Saved, importable
+from collarlake.llm.tables import Saved, freed, importable
 from collarlake.llm.words import mix, text_bytes, word_hashes
 
 STEPS = 12
@@ -120,7 +120,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def featurised(docs: DataFrame) -> DataFrame:
     importable(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_featurise, "doc_id long, x binary")
+    return docs.select("doc_id", "text").mapInArrow(freed(_featurise), "doc_id long, x binary")
 
 
 def _rows(batch: pa.RecordBatch) -> np.ndarray:
@@ -279,4 +279,4 @@ def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(model.scores(batch.column("text")) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from collarlake.workspace import scratch_dir
@@ -42,6 +45,24 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
+def freed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives freed memory back to the system when a task ends.
+    Workers are used again by later stages, which need it more."""
+
+    def then(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library, which decides for itself
+
+    return then
+
+
 class Saved:
     """Tables that one job writes to the shared folder, so that no later step depends on
     what a lost executor held."""
