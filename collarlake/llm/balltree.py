@@ -2,8 +2,9 @@
 
 A node of the tree holds a ball around its points; no point in it has an inner product with
 q above q . center + |q| radius. A query visits nodes in order of that bound and stops when
-the bound falls below its k-th score so far. Each block of queries first searches one shard;
-the k-th scores found there go along to all other shards, where they prune from the start.
+the bound falls below its k-th score so far. Each query first searches one shard of the cell
+whose pivot suits it best; the k-th score found there goes along to the other shards of
+those cells whose own balls can still reach it, and prunes there from the start.
 
 Scores are integers and exact: they are computed in doubles where those hold all sums, and
 in unbounded integers otherwise. Bounds are rounded up.
@@ -15,9 +16,20 @@ import heapq
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from collarlake.llm.tables import Saved
-from collarlake.llm.vectors import best, blocked, paired, results, searched, sharded, usable
+from collarlake.llm.vectors import (
+    best,
+    first_cells,
+    questions,
+    reaching_cells,
+    results,
+    routed,
+    searched,
+    sharded,
+    usable,
+)
 
 PER_SHARD = 16_384
 LEAF = 128
@@ -92,21 +104,18 @@ class BallTree:
         return ids, scores
 
 
-def _index(ids: np.ndarray, x: np.ndarray) -> BallTree:
-    return BallTree(ids, np.floor(256.0 * x))
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.floor(256.0 * x)
 
 
 def _search(k: int):
-    def run(tree: BallTree, ids: np.ndarray, x: np.ndarray, floors: np.ndarray) -> tuple:
-        queries, found, scores, floors = [], [], [], floors.tolist()
-        for n, (own, q) in enumerate(zip(ids.tolist(), np.floor(256.0 * x), strict=True)):
-            near, value = tree.search(q, own, k, floors[n])
-            queries += [own] * len(near)
-            found += near.tolist()
-            scores += [int(v) for v in value]
-            if len(near) == k:
-                floors[n] = max(floors[n], scores[-1])
-        return queries, found, scores, np.array(floors, object)
+    def run(tree: BallTree, ids: np.ndarray, x: np.ndarray, floors: list) -> tuple:
+        found, scores = [], []
+        for own, q, floor in zip(ids.tolist(), x, floors, strict=True):
+            near, value = tree.search(q, own, k, -np.inf if floor is None else floor)
+            found.append(near.tolist())
+            scores.append([int(v) for v in value])
+        return found, scores
 
     return run
 
@@ -122,10 +131,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     id.
     """
     saved = Saved(vectors.sparkSession, "ball-tree")
-    shards, number = sharded(usable(vectors), PER_SHARD, _index, saved)
-    blocks = blocked(usable(queries), saved)
+    shards, cells, spaces = sharded(usable(vectors), PER_SHARD, k, BallTree, saved, _whole)
     search = _search(k)
-    first = paired(blocks, shards, number, home=True)
-    first = saved.write(searched(first, search, "long"), "first")
-    rest = searched(paired(first, shards, number, home=False), search, "long")
+    asked = routed(questions(usable(queries)), first_cells(lambda space: 1), spaces, _whole)
+    first = saved.write(searched(asked, shards, cells, search, "long", saved, home=True), "first")
+    floor = F.when(F.size("score") == k, F.array_min("score")).alias("floor")
+    asked = routed(
+        first.select("dim", "query_id", "x", "home", floor), reaching_cells(cells, spaces), spaces
+    )
+    rest = searched(asked, shards, cells, search, "long", saved, home=False)
     return best(results(first).unionByName(results(rest)), k)

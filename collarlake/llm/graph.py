@@ -9,6 +9,9 @@ pruned again. The same beam search answers queries; many of them step at once.
 Inner products become distances by one more component that gives all points of a shard
 equal length. Equal vectors are one point of the graph, with a list of ids. What the search
 finds is scored exactly on the original vectors.
+
+A query goes to the cells of the pivots with the highest inner products, to as many as hold
+nearly all neighbours of sampled vectors.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from collarlake.llm.tables import Saved
-from collarlake.llm.vectors import best, blocked, paired, results, searched, sharded, usable
+from collarlake.llm.vectors import best, first_cells, questions, results, routed, searched, sharded, usable
 
 PER_SHARD = 4096
 DEGREE = 32
@@ -149,8 +152,8 @@ class Graph:
 
 
 def _search(k: int, beam: int):
-    def run(graph: Graph, ids: np.ndarray, x: np.ndarray, floors: np.ndarray) -> tuple:
-        queries, found, scores = [], [], []
+    def run(graph: Graph, ids: np.ndarray, x: np.ndarray, floors: list) -> tuple:
+        found, scores = [], []
         for begin in range(0, len(ids), ROUND):
             part = slice(begin, begin + ROUND)
             near = graph.search(x[part], max(beam, k + 1))
@@ -167,10 +170,9 @@ def _search(k: int, beam: int):
                     values.append(np.full(len(names[-1]), score))
                 name, value = np.concatenate(names), np.concatenate(values)
                 order = np.lexsort((name, -value))[:k]
-                queries += [own] * len(order)
-                found += name[order].tolist()
-                scores += value[order].tolist()
-        return queries, found, scores, floors
+                found.append(name[order].tolist())
+                scores.append(value[order].tolist())
+        return found, scores
 
     return run
 
@@ -188,7 +190,9 @@ def nearest(
     Scores are exact; a wider beam finds more of the true neighbours.
     """
     saved = Saved(vectors.sparkSession, "graph")
-    shards, number = sharded(usable(vectors, nonzero=True), PER_SHARD, Graph, saved)
-    blocks = blocked(usable(queries, nonzero=True), saved)
-    found = searched(paired(blocks, shards, number), _search(k, beam), "double")
+    shards, cells, spaces = sharded(usable(vectors, nonzero=True), PER_SHARD, k, Graph, saved)
+    asked = routed(
+        questions(usable(queries, nonzero=True)), first_cells(lambda space: space.probes), spaces
+    )
+    found = searched(asked, shards, cells, _search(k, beam), "double", saved)
     return best(results(found), k)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import pickle
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -421,7 +422,7 @@ def test_top_k_of_odd_rows(spark, monkeypatch):
 def test_top_k_over_many_shards(spark, monkeypatch):
     monkeypatch.setattr(balltree, "PER_SHARD", 50)
     monkeypatch.setattr(balltree, "LEAF", 8)
-    monkeypatch.setattr(vectors, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(vectors, "QUERIES", 3)
     source = random.Random(4)
     rows = [(i, [float(source.randrange(-2, 3)) for _ in range(3)]) for i in range(400)]
     rows += [(400 + i, [1e6 * source.random(), 3e3, -5e3]) for i in range(4)]
@@ -478,6 +479,60 @@ def test_nearest_of_odd_rows(spark):
     assert graph.nearest(df.limit(0), df.limit(0), 20).count() == 0
 
 
+def clusters(rows, number, dim):
+    """Vectors around ``number`` centers, of unequal lengths; the first third are equal."""
+    source = np.random.default_rng(3)
+    centers = source.normal(size=(number, dim))
+    x = centers[source.integers(number, size=rows)] + 0.05 * source.normal(size=(rows, dim))
+    x *= source.uniform(0.8, 1.2, size=(rows, 1))
+    x[: rows // 3] = x[0]
+    return x
+
+
+def test_cells_hold_every_row_and_hot_ones_are_split(spark):
+    x = clusters(1800, 12, 8)
+    df = table(spark, [(i, v.tolist()) for i, v in enumerate(x)] + [(5000 + i, [1.0, 2.0]) for i in range(9)])
+    saved = Saved(spark, "cells")
+    sizes = lambda ids, points: [ids.tolist(), len(points)]
+    shards, cells, spaces = vectors.sharded(vectors.usable(df), 100, 5, sizes, saved)
+    assert list(spaces) == [8] and spaces[8].probes < len(spaces[8].pivots)
+    made = [pickle.loads(r["index"]) for r in shards.collect()]
+    assert sorted(i for ids, _ in made for i in ids) == [*range(1800), *range(5000, 5009)]
+    assert max(n for _, n in made) < 250  # the equal rows alone are 600
+    assert cells.agg({"parts": "max"}).first()[0] >= 6
+    radius = {(r.dim, r.cell): r.radius for r in cells.collect()}
+    for r in vectors.placed(vectors.usable(df), spaces, lambda v: v, saved).collect():
+        assert r.away <= radius[r.dim, r.cell]
+
+
+def test_vectors_with_structure_meet_few_cells(spark, monkeypatch):
+    """Exact results and near ones, over many cells of which a query needs a few."""
+    monkeypatch.setattr(balltree, "PER_SHARD", 100)
+    monkeypatch.setattr(graph, "PER_SHARD", 100)
+    x = clusters(1800, 12, 8)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = table(spark, rows)
+    asked = df.where("vec_id % 50 = 0")
+    found = defaultdict(list)
+    for r in balltree.top_k(df, asked, 5).collect():
+        found[r.query_id].append((r["rank"], r.score, r.vec_id))
+    for own, q in rows[::50]:
+        want = [(n, s, i) for n, (s, i) in enumerate(scores_of(rows, own, q, scale=True)[:5], 1)]
+        assert sorted(found[own]) == want
+    assert recall(spark, df, "vec_id % 50 = 0", 10) > 0.95
+
+    saved = Saved(spark, "cells")
+    _, cells, spaces = vectors.sharded(vectors.usable(df), 100, 5, lambda ids, points: 0, saved)
+    kth = {own: sorted(x[own] @ np.delete(x, own, axis=0).T)[-5] for own in range(0, 1800, 50)}
+    q = x[::50]
+    chosen = vectors.reaching_cells(cells, spaces)(spaces[8], 8, q, np.array([kth[i] for i in range(0, 1800, 50)]))
+    assert chosen.mean() < 0.7
+    own = spaces[8].nearest(x)
+    for n, at in enumerate(range(0, 1800, 50)):
+        others = np.delete(np.arange(1800), at)
+        assert chosen[n, own[others[x[others] @ x[at] >= kth[at]]]].all()
+
+
 # ---- pipeline
 
 
