@@ -4,7 +4,12 @@ Positive-unlabelled learning: with f the log odds, l the logistic loss and p the
 good documents, the risk is p E_pos[l(f)] + max(0, E_all[l(-f)] - p E_pos[l(-f)]). The second
 part estimates the loss on bad documents without seeing any; it cannot be negative, and
 where its estimate gets negative the step goes back up (non-negative risk). Labelled
-documents of bad quality are used only for their number, in the estimate of the prior.
+documents of bad quality are not used at all.
+
+The prior is estimated from the positives and all texts. Half of the positives make a linear
+ranking; above any score t, the share of all documents is at least p times that of the good
+ones, which the other half of the positives shows. The least ratio of the two shares, where
+both are known well enough, is the estimate.
 
 Features do not depend on the language: frequencies of pairs of character classes, and how
 much words, their pairs and triples, and lines repeat. A pass over the texts turns each
@@ -28,7 +33,8 @@ from collarlake.llm.words import mix, text_bytes, word_hashes
 STEPS = 12
 RIDGE = 5.0  # strength of the pull to zero, as a number of documents
 LIMIT = 10.0
-SMOOTH = 1.0
+BINS = 1000
+DOUBT = 0.1  # chance that a share is further from the truth than the estimate allows for
 
 # Classes of bytes. 0 is lower case and what is not named here.
 CLASSES = [
@@ -133,21 +139,22 @@ def _sigmoid(f: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(f, -500, 500)))
 
 
-def _sums(x: DataFrame, function) -> np.ndarray:
-    """Add up, in Spark, the vector that ``function`` gives for each batch of features."""
+def _sums(x: DataFrame, function, flag: str = "positive") -> np.ndarray:
+    """Add up, in Spark, the vector that ``function`` gives for each batch of features, with
+    the flags of its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             if batch.num_rows:
-                part = function(_rows(batch), np.asarray(batch.column("positive").to_pylist(), bool))
+                part = function(_rows(batch), np.asarray(batch.column(flag).to_pylist(), bool))
                 total = part if total is None else total + part
         if total is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(total)), pa.int64()), pa.array(total)], names=["k", "v"]
             )
 
-    parts = x.select("x", "positive").mapInArrow(run, "k long, v double")
+    parts = x.select("x", flag).mapInArrow(run, "k long, v double")
     # As many numbers as ``function`` gives for a batch, however many batches there are.
     found = {row.k: row.v for row in parts.groupBy("k").agg(F.sum("v").alias("v")).collect()}
     return np.array([found[k] for k in range(len(found))])
@@ -181,20 +188,71 @@ def trusted(labels: DataFrame, allowed: Column) -> DataFrame:
     )
 
 
+def _ranking(rows: DataFrame, model: Model) -> np.ndarray | None:
+    """Weights that rank the first half of the positives above all documents: one Newton
+    step of the logistic loss. None without positives in that half."""
+
+    def sums(x: np.ndarray, pos: np.ndarray) -> np.ndarray:
+        z = model.standard(x)
+        zp = z[pos]
+        return np.concatenate([z.sum(axis=0), zp.sum(axis=0), (z.T @ z).ravel(), (zp.T @ zp).ravel()])
+
+    total = _sums(rows, sums, "first")
+    size = FEATURES + 1
+    every, good = total[:size], total[size : 2 * size]
+    n, n_good = every[-1], good[-1]
+    if not n_good:
+        return None
+    curve, curve_good = total[2 * size :].reshape(2, size, size)
+    ridge = RIDGE / n_good * np.append(np.ones(size - 1), 1e-6) + 1e-6
+    return np.linalg.solve((curve / n + curve_good / n_good) / 8 + np.diag(ridge), (good / n_good - every / n) / 4)
+
+
+def least_ratio(every: np.ndarray, good: np.ndarray) -> float:
+    """The prior from the counts of all documents and of good ones by rising score: the ratio
+    of their shares above the score where it is least, with what chance may add to it."""
+    n, n_good = every.sum(), good.sum()
+    share, share_good = np.cumsum(every[::-1]) / n, np.cumsum(good[::-1]) / n_good
+    chance = np.sqrt(np.log(4 / DOUBT) / 2)
+    most = np.full(len(share), np.inf)
+    met = share_good > 0
+    most[met] = (share[met] + chance * (n**-0.5 + n_good**-0.5)) / share_good[met]
+    at = int(most.argmin())
+    return float(np.clip(share[at] / share_good[at], 1 / (n + 2), 1 - 1 / (n + 2)))
+
+
+def _prior(rows: DataFrame, model: Model) -> float:
+    ranking = _ranking(rows, model)
+    if ranking is None:
+        return model.prior
+
+    def sums(x: np.ndarray, pos: np.ndarray) -> np.ndarray:
+        score = _sigmoid(model.standard(x) @ ranking)
+        counts = [np.histogram(part, BINS, (0, 1))[0] for part in (score, score[pos])]
+        return np.concatenate(counts).astype(np.float64)
+
+    every, good = _sums(rows, sums, "second").reshape(2, BINS)
+    return least_ratio(every, good) if good.sum() else model.prior
+
+
 def fit(x: DataFrame, labels: DataFrame, saved: Saved, steps: int = STEPS) -> Model:
     """Learn from ``x`` (doc_id, x), all documents, and ``labels`` (doc_id, good).
 
-    Only documents with good = 1 are used by their label. The prior is the share of good
-    ones among the labels, which should be a random choice. Without positives or without
-    documents the score is the prior for all, or 0.5 without labels.
+    Only documents with good = 1 are used; they should be like other good documents. Without
+    positives or without documents the score is 0.5 for all; the prior is 0.5 if a half of
+    the positives is empty.
     """
-    number = labels.agg(F.count("good").alias("n"), F.sum("good").alias("good")).first()
-    prior = ((number.good or 0) + SMOOTH) / (number.n + 2 * SMOOTH)
-    model = Model(np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES + 1), prior)
-    model.weights[-1] = np.log(prior / (1 - prior))
+    model = Model(np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES + 1), 0.5)
     good = labels.where("good = 1").select("doc_id", F.lit(True).alias("positive"))
+    positive = F.coalesce("positive", F.lit(False))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
     rows = saved.write(
-        x.join(good, "doc_id", "left").select("x", F.coalesce("positive", F.lit(False)).alias("positive")),
+        x.join(good, "doc_id", "left").select(
+            "x",
+            positive.alias("positive"),
+            (positive & half).alias("first"),
+            (positive & ~half).alias("second"),
+        ),
         "learn",
     )
     moments = _sums(
@@ -207,6 +265,8 @@ def fit(x: DataFrame, labels: DataFrame, saved: Saved, steps: int = STEPS) -> Mo
     model.mean = moments[2 : 2 + FEATURES] / n
     spread = np.sqrt(np.maximum(moments[2 + FEATURES :] / n - model.mean**2, 0))
     model.scale = np.where(spread > 1e-3, 1 / np.maximum(spread, 1e-3), 0.0)
+    prior = model.prior = _prior(rows, model)
+    model.weights[-1] = np.log(prior / (1 - prior))
     size = FEATURES + 1
 
     def at(w: np.ndarray):

@@ -246,6 +246,33 @@ def test_quality_does_not_read_held_out_labels(spark):
     assert np.allclose(fits[0].weights, fits[1].weights, atol=1e-6)
 
 
+def test_quality_prior_needs_positives_only(spark):
+    """The estimate is near the share of good documents, and labels of bad ones change nothing."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    x = quality.featurised(docs)
+    known = quality.trusted(labels, queries.bucket(4) != 2)
+    model = quality.fit(x, known, Saved(spark, "test"), steps=2)
+    assert abs(model.prior - labels.agg({"quality": "avg"}).first()[0]) < 0.05
+    alone = quality.fit(x, known.where("good = 1"), Saved(spark, "test"), steps=2)
+    assert alone.prior == model.prior and np.allclose(alone.weights, model.weights)
+
+
+def test_quality_least_ratio_equals_all_thresholds():
+    source = np.random.default_rng(11)
+    good, bad = source.beta(6, 2, 4000), source.beta(2, 5, 2000)
+    scores, held = np.concatenate([good, bad]), source.beta(6, 2, 900)
+    counts = [np.histogram(v, quality.BINS, (0, 1))[0] for v in (scores, held)]
+    slack = math.sqrt(math.log(4 / quality.DOUBT) / 2) * (len(scores) ** -0.5 + len(held) ** -0.5)
+    found = []
+    for t in np.arange(quality.BINS) / quality.BINS:
+        above, above_held = (scores >= t).mean(), (held >= t).mean()
+        if above_held:
+            found.append(((above + slack) / above_held, above / above_held))
+    assert quality.least_ratio(*counts) == pytest.approx(min(found)[1])
+    assert abs(quality.least_ratio(*counts) - 2 / 3) < 0.06
+
+
 def test_quality_of_odd_rows(spark):
     docs = documents(spark, odd_rows(), extra=True)
     none = spark.createDataFrame([], "doc_id long, good int")
@@ -272,9 +299,7 @@ def test_quality_risk_is_least_where_the_fit_ends(spark):
     rows = x.join(known, "doc_id", "left").select("x", "good").collect()
     plain = np.array([np.frombuffer(r.x, np.uint8) for r in rows]) / 255.0
     positive = np.array([r.good == 1 for r in rows])
-    good = [r.good for r in known.collect()]
-    prior = (sum(good) + quality.SMOOTH) / (len(good) + 2 * quality.SMOOTH)
-    assert model.prior == pytest.approx(prior)
+    prior = model.prior
     assert np.allclose(model.mean, plain.mean(axis=0))
     z = np.clip((plain - plain.mean(axis=0)) * model.scale, -quality.LIMIT, quality.LIMIT)
     z = np.hstack([z, np.ones((len(z), 1))])
