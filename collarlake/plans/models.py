@@ -13,6 +13,7 @@ from collarlake.functions.cleaning import default_to
 from collarlake.functions.keys import surrogate_key
 from collarlake.functions.numbers import INTEGER_AVERAGE_SCALE, round_half_up
 from collarlake.operators.daily import daily_measures
+from collarlake.operators.joins import limited
 
 
 def stg_telemetry(staging: DataFrame) -> DataFrame:
@@ -160,7 +161,7 @@ def bi_flat(days: DataFrame, cats: DataFrame) -> DataFrame:
     profile's. An animal has one row per day here, so no join key is hot.
     """
     joined = days.alias("h").join(
-        cats.alias("c"), F.col("h.cat_id") == F.col("c.cat_id"), "left"
+        limited(cats).alias("c"), F.col("h.cat_id") == F.col("c.cat_id"), "left"
     )
     shares = {
         "sleep_percentage_of_day": health.percent_of_day(F.col("estimated_sleep_minutes")),

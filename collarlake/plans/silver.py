@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collarlake.functions import cleaning
-from collarlake.operators.joins import SALTS, join_profiles
+from collarlake.operators.joins import join_profiles
 from collarlake.operators.latest import latest_row
 
 READING_KEY = ("collar_id", "parsed_reading_time")
@@ -39,7 +39,7 @@ def dedup_latest(cleaned: DataFrame) -> DataFrame:
 def silver(
     bronze: DataFrame,
     registry: DataFrame,
-    salts: int = SALTS,
+    salts: int | None = None,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
     """The silver table. Readings without a registered animal are dropped."""

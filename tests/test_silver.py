@@ -10,10 +10,19 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from collarlake.operators.joins import join_profiles, salted
+from collarlake.operators.joins import (
+    FEWEST_SALTS,
+    SALTS,
+    broadcast_threshold,
+    join_profiles,
+    limited,
+    salted,
+    salts_for,
+)
 from collarlake.operators.latest import latest_row
 from collarlake.plans.silver import clean, dedup_latest, readings_on, silver
 from collarlake.schemas import BRONZE
+from collarlake.sizing import estimated_bytes
 from tests.conftest import plan_of, rows
 
 # As read back from files: the file source makes every column nullable.
@@ -169,6 +178,28 @@ def test_only_a_registry_known_to_be_small_is_broadcast(spark, tmp_path):
         assert "_salt" in plan_of(large)
 
 
+def test_a_repeated_registry_is_not_broadcast(spark, tmp_path):
+    """Above the limit by all its columns, below the threshold by those that the query reads."""
+    cats = registry(spark, "HOT", *(f"C{i}" for i in range(400)))
+    cats.write.parquet(str(tmp_path / "cats"))
+    stored = spark.read.parquet(str(tmp_path / "cats"))
+    readings = skewed(spark)
+    assert estimated_bytes(stored.select("cat_id")) < broadcast_threshold(stored)
+    spread = join_profiles(readings, stored, spread_by=("collar_id",), broadcast_limit=0)
+    assert "BroadcastHashJoin" in plan_of(readings.join(stored, "cat_id").select("v"))
+    ran = spread.select("v")
+    assert sorted(rows(ran)) == sorted(rows(readings.select("v")))
+    assert "Broadcast" not in plan_of(ran)
+    one_each = readings.select("cat_id").distinct()
+    assert "Broadcast" not in plan_of(one_each.join(limited(stored, 0), "cat_id", "left"))
+
+
+def test_profiles_are_repeated_by_their_size_beside_the_readings(spark):
+    assert salts_for(10**12, 10**9) == SALTS and salts_for(10**9, 0) == SALTS
+    assert salts_for(10**9, 10**9) == salts_for(10**6, 10**9) == FEWEST_SALTS
+    assert salts_for(32 * 10**9, 10**9) == 8
+
+
 def test_silver_is_the_same_with_and_without_salts(spark):
     """Half of the readings are of one cat, and a third have one collar and no valid time."""
     pick = random.Random(3)
