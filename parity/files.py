@@ -6,11 +6,10 @@ and reads them back through the operator.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from collarlake.functions.cleaning import parse_reading_time
-from collarlake.operators.latest import latest_row
 from collarlake.plans import lake
 from collarlake.schemas import RAW_TELEMETRY
 from collarlake.sources import registry, tables, telemetry
@@ -454,14 +453,23 @@ def lake_build(spark, sf_dir):
 
 
 def _earlier_ingested(spark: SparkSession, sf_dir: str, place: lake.Lake) -> DataFrame:
-    """Ingest all readings but the latest one of each key, and return those."""
+    """Ingest all readings but the latest one of each key, and return those.
+
+    One shuffle ranks the readings; they are kept, since callers write them in several parts.
+    """
     raw = adapter.raw(spark, sf_dir)
     # What the chain calls one reading: times that cannot be parsed are alike.
     keyed = raw.withColumn("time", parse_reading_time(F.col("reading_time")))
-    latest = latest_row(keyed, ("collar_id", "time"), ("ingested_at", "source_file"))
-    write_json(keyed.exceptAll(latest).drop("time"), place.landing)
+    # The order of the chain's "latest wins": ties are settled by all other columns.
+    order = dict.fromkeys(("ingested_at", "source_file", *raw.columns))
+    reading = Window.partitionBy("collar_id", "time").orderBy(*(F.col(n).desc() for n in order))
+    ranked = keyed.withColumn("latest", F.row_number().over(reading) == 1).drop("time")
+    path = scratch_dir(spark, "ranked-readings")
+    tables.overwrite(ranked, path)
+    kept = tables.read(spark, path, ranked.schema)
+    write_json(kept.filter(~F.col("latest")), place.landing)
     lake.build_bronze(spark, place)
-    return latest.drop("time")
+    return kept.filter("latest").drop("latest")
 
 
 @query("lake_changes", "select * from bi")

@@ -7,14 +7,17 @@ import re
 import shutil
 import subprocess
 import sys
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from parity import compare
+from collarlake.operators.latest import latest_row
+from parity import adapter, compare, files
 from parity.catalog import COVERED_BY, ORACLES, QUERIES
-from tests.conftest import SF_SMALL, plan_of
+from tests.conftest import SF_SMALL, plan_of, rows
 
 # Queries that write files first.
 WRITING = {name for name, q in QUERIES.items() if q.__module__ == "parity.files"}
@@ -38,6 +41,31 @@ def test_plan(spark, name):
         assert word not in plan
 
 
+def test_waves_split_the_readings_and_are_ranked_once(spark, tmp_path):
+    """Repeated, undated and identical readings; the second wave is read, not computed again."""
+    at = datetime(2024, 1, 1, 10)
+    events = [
+        (97 * (i % 3) if i % 4 == 0 else i, at + timedelta(minutes=i // 2), i % 5, "view", float(i % 7))
+        for i in range(80)
+    ]
+    events += events[:9]
+    table = spark.createDataFrame(events, adapter.SCHEMAS["events"])
+    table.write.parquet(str(tmp_path / "events.parquet"))
+    place = files._place(spark, "waves")
+    second = files._earlier_ingested(spark, str(tmp_path), place)
+    raw = adapter.raw(spark, str(tmp_path))
+    keyed = raw.withColumn("time", files.parse_reading_time(F.col("reading_time")))
+    best = latest_row(keyed, ("collar_id", "time"), ("ingested_at", "source_file"))
+    assert sorted(rows(second), key=str) == sorted(rows(best.drop("time")), key=str)
+    first = files.telemetry.read_bronze(spark, place.path("bronze"))
+    names = files.RAW_TELEMETRY.names
+    assert sorted(rows(first.select(*names)), key=str) == sorted(
+        rows(keyed.exceptAll(best).select(*names)), key=str
+    )
+    assert first.count() + second.count() == len(events)
+    assert "Exchange" not in plan_of(second)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry_points.queries())
