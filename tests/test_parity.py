@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from collarlake.operators.latest import latest_row
+from collarlake.sizing import estimated_bytes
 from parity import adapter, compare, files
 from parity.catalog import COVERED_BY, ORACLES, QUERIES
 from tests.conftest import SF_SMALL, plan_of, rows
@@ -41,6 +42,62 @@ def test_plan(spark, name):
         assert word not in plan
 
 
+# Queries that read the registry through its join with the readings.
+REGISTRY_READERS = (
+    "agg_avg_if", "agg_count_all", "agg_count_if", "agg_min", "agg_sum", "bi",
+    "bi_activity_by_hour", "bi_heart_excursions", "bi_sleep_by_breed", "cardiac_status",
+    "daily_group", "daily_health_project", "dash_activity_mix", "dash_date_bounds",
+    "dash_empty_check", "dash_filter_cat", "dash_filter_cat_id", "dash_filter_dates",
+    "dash_kpi_deltas", "dash_kpis", "detail_table", "display_gender",
+)
+
+
+@pytest.fixture(scope="module")
+def registered(spark, tmp_path_factory) -> str:
+    """Readings of five cats, one of them with most of the readings, and a registry of 300."""
+    place = str(tmp_path_factory.mktemp("registered"))
+    at = datetime(2024, 1, 1, 10)
+    events = [
+        (i, at + timedelta(hours=3 * i), 3 if i % 3 else i % 5, ("view", "click", "buy")[i % 3],
+         70.0 + i % 9 + 100 * (i % 40 == 39))
+        for i in range(240)
+    ]
+    cats = [(i, f"Customer#{i:09d}", ("MACHINERY", "FURNITURE")[i % 2]) for i in range(300)]
+    for name, made in (("events", events), ("customer", cats)):
+        table = spark.createDataFrame(made, adapter.SCHEMAS[name])
+        table.coalesce(1).write.parquet(f"{place}/{name}.parquet")
+    return place
+
+
+@pytest.fixture
+def ids_below_threshold(spark, registered):
+    """The registry and the dimension are above the broadcast threshold, their ids far below."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    tables = [make(spark, registered) for make in (adapter.registry_text, adapter.dim)]
+    limit = min(estimated_bytes(t) for t in tables) - 1
+    assert all(estimated_bytes(t.select("cat_id")) < limit // 2 for t in tables)
+    spark.conf.set(name, str(limit))
+    yield
+    spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("name", REGISTRY_READERS)
+def test_registry_above_the_limit_is_not_broadcast(spark, registered, ids_below_threshold, name):
+    """However few of its columns the query reads, and though it is repeated per salt."""
+    plan = plan_of(QUERIES[name](spark, registered))
+    assert "_salt" in plan
+    assert "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("name", ["agg_min", "bi", "bi_heart_excursions"])
+def test_registry_above_the_limit_gives_the_same_rows(spark, registered, request, name):
+    plain = QUERIES[name](spark, registered)
+    assert "BroadcastHashJoin" in plan_of(plain)
+    expected = sorted(rows(plain), key=str)
+    request.getfixturevalue("ids_below_threshold")
+    assert expected and sorted(rows(QUERIES[name](spark, registered)), key=str) == expected
+
+
 def test_waves_split_the_readings_and_are_ranked_once(spark, tmp_path):
     """Repeated, undated and identical readings; the second wave is read, not computed again."""
     at = datetime(2024, 1, 1, 10)
